@@ -40,8 +40,11 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
 FROM lineitem
 """)
 def _rank_desc_in_group(spark: SparkSession, folder: str) -> DataFrame:
-    lineitem = table(spark, folder, "lineitem")
-    return windows.dense_row_number(lineitem, ["l_orderkey", "l_linenumber"], _line_order()).select(
+    # Copies of a line are told apart by their place in the files.
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", "_metadata.row_index")
+    lineitem = table(spark, folder, "lineitem").withColumn("place", place)
+    order = [*_line_order(), F.col("place")]
+    return windows.dense_row_number(lineitem, ["l_orderkey", "l_linenumber"], order).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "rn"
     )
 

@@ -15,7 +15,7 @@ from millrace.bindings.inputs import (
 )
 from millrace.bindings.registry import AS_OF, query, table
 from millrace.bindings.scans_and_sinks import scan_raw_messages
-from millrace.functions.cleansing import file_segment, file_stem, substring_project_id
+from millrace.functions.cleansing import base_name, file_segment, file_stem, substring_project_id
 from millrace.functions.text import valid_user_id
 from millrace.operators import filters, projections
 from millrace.operators.aggregates import distinct_keys
@@ -240,8 +240,6 @@ SELECT o_orderkey, file_name AS base, split_part(file_name, '.', 1) AS stem,
 FROM (SELECT o_orderkey, {PLAN_NAME_DUCK} AS file_name FROM orders) n
 """)
 def _file_name_parts(spark: SparkSession, folder: str) -> DataFrame:
-    from millrace.functions.cleansing import base_name
-
     path = F.concat(F.lit("/data/plans/"), F.col("file_name"))
     return _plan_names(spark, folder).select(
         "o_orderkey", base_name(path).alias("base"), file_stem(path).alias("stem"),

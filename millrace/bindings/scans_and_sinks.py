@@ -85,7 +85,9 @@ def _control_table_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_plans(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "plans-xml")
-    plan_documents(spark, folder).write.format("xml").option("rootTag", "Projects").option(
+    # A file is read by one task, so there should be at least one per core.
+    spread = plan_documents(spark, folder).repartition(spark.sparkContext.defaultParallelism, "Name")
+    spread.write.format("xml").option("rootTag", "Projects").option(
         "rowTag", "Project"
     ).save(path)
     return path

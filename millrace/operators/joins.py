@@ -9,23 +9,26 @@ hot key before it is shuffled.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Number of places rows without a lookup key are spread over.
+NULL_SPREAD = 4096
+
 
 def _equal(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> Column:
-    condition = None
-    for mine, theirs in on.items():
-        term = left[mine] == right[theirs]
-        condition = term if condition is None else condition & term
-    return condition
+    return reduce(Column.__and__, [left[mine] == right[theirs] for mine, theirs in on.items()])
 
 
 def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the greatest of the remaining columns, column by column."""
+    """One row per key: the greatest one, so that reruns agree."""
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rest])
+    if len(rest) == 1:
+        return df.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0]))
+    greatest = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
+    return greatest.select(*keys, "_row.*")
 
 
 def join_parent_key(
@@ -46,14 +49,21 @@ def join_lookup(
 ) -> DataFrame:
     """Left lookup; ``take`` maps lookup columns to new names, unmatched stays NULL.
 
-    The lookup must be unique on its key (see :func:`unique_rows`).
+    The lookup must be unique on its key (see :func:`unique_rows`).  Rows with a NULL
+    key match nothing; they get a spread value beside the key, or a shuffle would
+    bring them all to one task.
     """
     side = lookup.select(
         *[F.col(k).alias(f"_k_{k}") for k in on.values()],
+        F.lit(0).cast("bigint").alias("_k_spread"),
         *[F.col(c).alias(n) for c, n in take.items()],
     )
-    condition = _equal(df, side, {mine: f"_k_{theirs}" for mine, theirs in on.items()})
-    return df.join(side, condition, "left").drop(*[f"_k_{k}" for k in on.values()])
+    no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    spread = F.when(no_key, F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)) + 1).otherwise(0)
+    rows = df.withColumn("_spread", spread.cast("bigint"))
+    pairs = {**{mine: f"_k_{theirs}" for mine, theirs in on.items()}, "_spread": "_k_spread"}
+    joined = rows.join(side, _equal(rows, side, pairs), "left")
+    return joined.drop("_spread", "_k_spread", *[f"_k_{k}" for k in on.values()])
 
 
 def join_inner_left_chain(

@@ -159,13 +159,14 @@ def load_new_messages(
     fresh = filter_top_level(latest_versions(staged, as_of, days))
     fresh = not_in(fresh, "SRC_TS", loaded, "SRC_TS")
     ready = fold_codes(fresh, codes).where((F.col("TAG_CD") != "") & (F.col("TO_USR_EMAIL") != ""))
-    keyed = surrogate_keys(
+    # Read several times below; written once so that its joins and folds run once.
+    ready = settle(
         ready.select("SRC_TS", "INTRNL_TS", "NEW_MSG_TXT", "TAG_CD", "VALUE_CDS", "FRM_USR_SRC_ID",
-                     "FRM_USR_EMAIL", "TO_USR_SRC_ID", "TO_USR_EMAIL"),
-        [F.col("SRC_TS")], "RCGNTN_MSG_ID", existing=loaded,
+                     "FRM_USR_EMAIL", "TO_USR_SRC_ID", "TO_USR_EMAIL"), "ready-messages",
+    )
+    keyed = settle(
+        surrogate_keys(ready, [F.col("SRC_TS")], "RCGNTN_MSG_ID", existing=loaded), "new-messages"
     )
-    # Read three times below; written once so that its joins and fold run once.
-    keyed = settle(keyed, "new-messages")
     recipients = _recipients(keyed, employees)
     reached = semi_join(keyed, recipients, {"RCGNTN_MSG_ID": "RCGNTN_MSG_ID"})
     messages = join_lookup(
