@@ -30,9 +30,13 @@ def upper_columns(df: DataFrame) -> DataFrame:
 
 
 def all_null_columns(df: DataFrame) -> list[str]:
-    """Names of columns without any value: one pass, one row to the driver."""
-    seen = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
-    return [c for c in df.columns if seen[c] == 0]
+    """Names of columns without any value: one pass, one row to the driver.
+
+    A table without rows keeps its columns.
+    """
+    counts = [F.count(F.col(f"`{c}`")) for c in df.columns]
+    n_rows, *seen = df.agg(F.count(F.lit(1)), *counts).first()
+    return [c for c, n in zip(df.columns, seen) if n == 0 < n_rows]
 
 
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
