@@ -25,7 +25,7 @@ from millrace.functions.dates import format_seconds
 from millrace.operators.state import retention_delete
 from millrace.plans import extract, ledger, messages, outbound, reload
 from millrace.plans.project_plan import BATCH, plan_stage_to_integrated
-from millrace.session import scratch_path
+from millrace.session import scratch_path, settle
 from millrace.sinks.tables import truncate_load
 from millrace.sources.files import csv_scan
 from millrace.streaming import jobs
@@ -207,9 +207,8 @@ UNION ALL SELECT 'values', msg_id, 2, '' FROM reached WHERE v2
 """)
 def load_new_messages(spark: SparkSession, folder: str) -> DataFrame:
     staged = staged_messages(spark, folder)
-    new = messages.load_new_messages(
-        staged, loaded_messages(staged), employees(spark, folder), CODES, ts(AS_OF), 30
-    )
+    loaded = settle(loaded_messages(staged), "loaded")
+    new = messages.load_new_messages(staged, loaded, employees(spark, folder), CODES, ts(AS_OF), 30)
     return _message_tables(new)
 
 
@@ -247,7 +246,7 @@ UNION ALL SELECT 'values', msg_id, 2, '' FROM folded WHERE v2
 """)
 def _apply_modified_messages(spark: SparkSession, folder: str) -> DataFrame:
     staged = staged_messages(spark, folder)
-    loaded = loaded_messages(staged)
+    loaded = settle(loaded_messages(staged), "loaded")
     before = {
         "messages": loaded,
         "recipients": loaded.select("RCGNTN_MSG_ID", F.col("FRM_USR_ID").alias("TO_USR_ID"),

@@ -167,7 +167,7 @@ def load_new_messages(
     keyed = settle(
         surrogate_keys(ready, [F.col("SRC_TS")], "RCGNTN_MSG_ID", existing=loaded), "new-messages"
     )
-    recipients = _recipients(keyed, employees)
+    recipients = settle(_recipients(keyed, employees), "new-recipients")
     reached = semi_join(keyed, recipients, {"RCGNTN_MSG_ID": "RCGNTN_MSG_ID"})
     messages = join_lookup(
         reached, _employees(employees), {"FRM_USR_EMAIL": "CO_EMAIL"}, {"EMPL_ID": "FRM_EMPL_ID"}

@@ -14,6 +14,7 @@ from millrace.functions.text import compose_message, reactions
 from millrace.operators.filters import filter_unprocessed
 from millrace.operators.joins import unique_rows
 from millrace.operators.state import mark_claimed
+from millrace.session import settle
 
 ID = "RCGNTN_MSG_ID"
 
@@ -63,7 +64,8 @@ def outbound_queue(
     queue: DataFrame, recipients: DataFrame, values: DataFrame, directory: DataFrame
 ) -> Outbox:
     """Compose what is pending and mark exactly the messages that were composed."""
-    ready = compose_queue(queue, recipients, values, directory)
+    # Written once: all three results must be about the same messages.
+    ready = settle(compose_queue(queue, recipients, values, directory), "claimed")
     composed = ready.select(
         ID, "from_name",
         compose_message(F.col("to_names"), F.col("tag"), F.col("msg_text"), F.col("value_list"))
