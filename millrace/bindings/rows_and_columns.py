@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.bindings.inputs import (
-    DOCS_SQL,
     PLAN_NAME_DUCK,
     PLAN_NAME_SPARK,
     RAW_SQL,

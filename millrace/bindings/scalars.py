@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.bindings.inputs import CODES, DIRECTORY_SQL, RAW_SQL, directory
-from millrace.bindings.registry import AS_OF, EXACT, query, table, tables
+from millrace.bindings.inputs import DIRECTORY_SQL, RAW_SQL, directory
+from millrace.bindings.registry import EXACT, query, table
 from millrace.bindings.scans_and_sinks import scan_raw_messages
 from millrace.functions import cleansing, dates, text
 from millrace.functions.durations import iso_duration_seconds

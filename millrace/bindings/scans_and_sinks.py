@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.bindings.inputs import (
-    DOCS_SQL,
     PLAN_NAME_DUCK,
     RAW_SCHEMA,
     RAW_SQL,

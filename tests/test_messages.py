@@ -1,14 +1,15 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.plans import messages, outbound
 from millrace.plans.messages import Dictionaries
 from millrace.session import scratch_path
 from millrace.sources.files import json_messages_scan, json_users_scan
-from pyspark.sql import types as T
 
 CODES = Dictionaries(tags=[(1, ":thanks:"), (2, ":kudos:")], values=[(10, ":team:"), (20, ":bold:")])
 DAY = [dt.datetime(2024, 1, d) for d in range(1, 29)]
@@ -106,8 +107,6 @@ def test_changed_versions(spark, rows):
 
 def test_staging_from_an_export(spark):
     path = scratch_path(spark, "export").removeprefix("file:")
-    import os
-
     os.makedirs(path)
     sent = {"messages": [
         {"ts": "1.1", "text": f"<@{U1}> thanks", "user": U1, "type": "message",

@@ -113,3 +113,39 @@ def test_order_of_input_does_not_matter(spark, hot):
     a = windows.latest_row_per_key(hot.repartition(3), ["k"], [F.col("v").desc()])
     b = windows.latest_row_per_key(hot.repartition(11, "id"), ["k"], [F.col("v").desc()])
     assert a.exceptAll(b).count() == 0
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Skew limits that fit test data; no broadcasts."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_hot_join_keys_are_split(spark, hot, small_limits):
+    """Lookups, semi- and anti-joins and updates split the tasks of a hot key."""
+    parent = spark.range(0, 800).select(F.col("id").alias("p"), (F.col("id") * 2).alias("w"))
+    results = {
+        "parent": (joins.join_parent_key(hot, parent, {"k": "p"}, ["w"]), None),
+        "lookup": (joins.join_lookup(hot, parent, {"k": "p"}, {"w": "w"}), N),
+        "update": (joins.update_from_join(hot, parent, {"k": "p"}, {"v": "w"}), N),
+        "semi": (joins.semi_join(hot, parent, {"k": "p"}), None),
+    }
+    matched = hot.where("k < 800").count()
+    for name, (df, size) in results.items():
+        assert len(df.collect()) == (size or matched), name
+        assert "isSkew=true" in plan(df) or "skew=true" in plan(df), name
+    far = parent.where("p > 0")
+    kept = joins.anti_join(hot, far, {"k": "p"})
+    assert len(kept.collect()) == N - hot.where("k between 1 and 799").count()
+    assert "skew=true" in plan(kept)
