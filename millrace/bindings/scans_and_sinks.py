@@ -195,17 +195,31 @@ def _delete_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("idempotent_batch_replace", """
-SELECT o_orderkey, o_orderpriority,
-  CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice
-FROM orders
+SELECT 'partition' AS layout, o_orderkey, o_orderpriority,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders
+UNION ALL SELECT 'bucket', o_orderkey, o_orderpriority,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN o_totalprice * 2 ELSE o_totalprice END
+FROM orders JOIN customer ON o_custkey = c_custkey
 """)
 def _idempotent_batch_replace(spark: SparkSession, folder: str) -> DataFrame:
-    orders = project(table(spark, folder, "orders"), ["o_orderkey", "o_totalprice", "o_orderpriority"])
+    """Batches by priority in partitions of their own, and by customer in buckets, each delivered again twice."""
+    orders, customer = tables(spark, folder, "orders", "customer")
+    doubled = F.col("o_totalprice") * 2
     path = scratch_path(spark, "batches")
-    sinks.replace_partitions(orders, path, ["o_orderpriority"])
-    again = orders.where("o_orderpriority = '1-URGENT'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
-    sinks.replace_partitions(again, path, ["o_orderpriority"])
-    return sinks.replace_partitions(again, path, ["o_orderpriority"])
+    rows = project(orders, ["o_orderkey", "o_totalprice", "o_orderpriority"])
+    again = rows.where("o_orderpriority = '1-URGENT'").withColumn("o_totalprice", doubled)
+    for delivery in (rows, again, again):
+        by_priority = sinks.replace_partitions(delivery, path, ["o_orderpriority"])
+
+    path = scratch_path(spark, "bucketed-batches")
+    rows = project(orders, ["o_orderkey", "o_totalprice", "o_orderpriority", "o_custkey"])
+    building = customer.where("c_mktsegment = 'BUILDING'").withColumnRenamed("c_custkey", "o_custkey")
+    again = rows.join(building, "o_custkey", "left_semi").select(rows.columns).withColumn("o_totalprice", doubled)
+    for delivery in (rows, again, again):
+        by_customer = sinks.replace_in_buckets(delivery, path, "o_custkey", buckets=16)
+    return by_priority.withColumn("layout", F.lit("partition")).unionByName(
+        by_customer.drop("o_custkey").withColumn("layout", F.lit("bucket"))
+    )
 
 
 @query("cascade_delete", """

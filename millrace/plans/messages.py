@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from millrace.fixed_values import COMPARED_MESSAGE_COLUMNS
 from millrace.functions.text import strip_all_values, strip_last_tag, text_after_mentions
-from millrace.operators.filters import filter_recent, filter_top_level
+from millrace.operators.filters import filter_recent, filter_recent_epoch, filter_top_level
 from millrace.operators.joins import (
     anti_join,
     coalesce_identity,
@@ -93,8 +93,14 @@ def latest_versions(staged: DataFrame, as_of: Column | None = None, days: int |
 def detect_changed_versions(
     incoming: DataFrame, stored: DataFrame, key: str = "SRC_TS", version: str = "INTRNL_TS",
     compared: Sequence[str] = tuple(COMPARED_MESSAGE_COLUMNS),
+    as_of: Column | None = None, days: int | None = None,
 ) -> DataFrame:
-    """Incoming rows that are new or differ from the latest stored version."""
+    """Incoming rows that are new or differ from the latest stored version.
+
+    With ``days``, only stored keys (epoch seconds) of that look-back are compared.
+    """
+    if days is not None:
+        stored = filter_recent_epoch(stored, key, as_of, days)
     latest = latest_row_per_key(stored, [key], [F.col(version).desc()]).select(
         F.col(key).alias("_key"), F.struct(*compared).alias("_old")
     )

@@ -5,11 +5,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.operators.joins import anti_join
 from millrace.session import scratch_path
 from millrace.sources.files import csv_scan
 
+#: Partition column of bucketed tables.
+BUCKET = "batch_bucket"
+
 
 def truncate_load(df: DataFrame, path: str) -> DataFrame:
     """Full refresh; returns the loaded table.  ``df`` must not read from ``path``."""
@@ -45,6 +51,27 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def replace_in_buckets(df: DataFrame, path: str, batch: str, buckets: int = 1024) -> DataFrame:
+    """Replace whole batches in a table partitioned by a hash of the batch.
+
+    For tables with too many batches for a folder each.  Only the buckets of the
+    incoming batches are read and rewritten; other batches in them are carried over.
+    Their old files go when the new ones are committed, so a repeated task finds them.
+    """
+    spark = df.sparkSession
+    incoming = df.withColumn(BUCKET, F.pmod(F.xxhash64(batch), F.lit(buckets)).cast("int"))
+    try:
+        old = spark.read.schema(incoming.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return replace_partitions(incoming, path, [BUCKET]).drop(BUCKET)
+    # At most ``buckets`` numbers; as literals they prune the partitions read.
+    touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
+    kept = anti_join(old.where(F.col(BUCKET).isin(touched)), incoming, {batch: batch})
+    return replace_partitions(kept.unionByName(incoming), path, [BUCKET]).drop(BUCKET)
+
+
 def gzip_csv_stage(df: DataFrame, path: str) -> DataFrame:
     """Stage as gzipped CSV with a header and read the staged files back."""
     (
@@ -68,9 +95,14 @@ def temp_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_batches(
-    frames: Mapping[str, DataFrame], root: str, batch: str = "Batch_Run_Id"
+    frames: Mapping[str, DataFrame], root: str, batch: str = "Batch_Run_Id", buckets: int | None = None
 ) -> dict[str, DataFrame]:
-    """Write each frame below ``root``; batches delivered again replace their rows."""
+    """Write each frame below ``root``; batches delivered again replace their rows.
+
+    One partition per batch, or ``buckets`` of them where there are very many batches.
+    """
+    if buckets is not None:
+        return {n: replace_in_buckets(df, f"{root}/{n}", batch, buckets) for n, df in frames.items()}
     return {n: replace_partitions(df, f"{root}/{n}", [batch]) for n, df in frames.items()}
 
 

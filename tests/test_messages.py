@@ -105,6 +105,14 @@ def test_changed_versions(spark, rows):
     assert messages.detect_changed_versions(back, stored, compared=["a", "b"]).count() == 1
 
 
+def test_look_back_of_the_comparison(spark, rows):
+    schema = "SRC_TS string, INTRNL_TS int, a string"
+    old, new = "1703000000.000100", "1706000000.000100"      # 2023-12-19 and 2024-01-23
+    stored = spark.createDataFrame([(old, 1, "x"), (new, 1, "x")], schema)
+    got = messages.detect_changed_versions(stored, stored, compared=["a"], as_of=now(), days=30)
+    assert rows(got, "SRC_TS") == [(old,)]
+
+
 def test_staging_from_an_export(spark):
     path = scratch_path(spark, "export").removeprefix("file:")
     os.makedirs(path)

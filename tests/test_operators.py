@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import aggregates, filters, joins, lists, projections, state, windows
 from millrace.sinks import tables as sinks
 from millrace.session import scratch_path, scratch_root
+from millrace.sources.catalog import catalog_scan, registered_tables
 from millrace.sources.tables import control_table_scan, jdbc_options, table_projected_scan
 
 
@@ -98,6 +99,24 @@ def test_batch_replacement_twice_is_once(spark, rows):
     assert rows(table, "batch", "v") == rows(once)
 
 
+def test_bucketed_batches(spark, rows):
+    path = scratch_path(spark, "t")
+    old = spark.range(40).select(F.concat(F.lit("b"), F.col("id") % 20).alias("batch"), F.col("id").alias("v"))
+    sinks.replace_in_buckets(old, path, "batch", 8)
+
+    def files():
+        return {r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()}
+
+    before = files()
+    new = spark.createDataFrame([("b3", 100), ("new", 200)], "batch string, v bigint")
+    for _ in range(2):
+        table = sinks.replace_in_buckets(new, path, "batch", 8)
+    expected = state.replace_batch(old, new, "batch")
+    assert table.columns == ["batch", "v"] and rows(table) == rows(expected)
+    # Buckets without incoming batches keep their files.
+    assert len(before & files()) >= 4
+
+
 def test_delete_batch_keeps_rows_without_batch(spark, rows):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "batch string")
     assert rows(state.delete_batch(df, "batch", "a")) == [("b",), (None,)]
@@ -212,6 +231,12 @@ def test_jdbc_options():
         jdbc_options("jdbc:x", "t", partition_column="a")
 
 
+def test_registered_tables_can_be_measured(spark, rows):
+    spark.createDataFrame([("abc", 1)], "name string, n bigint").createOrReplaceTempView("measured_view")
+    views = {"measured_view": registered_tables(spark)["measured_view"]}
+    assert rows(catalog_scan(views), "column_name", "type", "size") == [("n", "BIGINT", 19), ("name", "NVARCHAR", 3)]
+
+
 def test_scratch_follows_the_session(spark):
     class Conf:
         @staticmethod
