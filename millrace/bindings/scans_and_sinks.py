@@ -86,8 +86,8 @@ def write_plans(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "plans-xml")
     # A file is read by one task, so there should be at least one per core.
     spread = plan_documents(spark, folder).repartition(spark.sparkContext.defaultParallelism, "Name")
-    spread.write.format("xml").option("rootTag", "Projects").option(
-        "rowTag", "Project"
+    spread.write.format("xml").options(
+        rootTag="Projects", rowTag="Project", indent="", compression="gzip"
     ).save(path)
     return path
 

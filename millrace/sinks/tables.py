@@ -38,6 +38,18 @@ def commit_state(state: DataFrame, path: str) -> DataFrame:
     return truncate_load(staged, path)
 
 
+def bucketed_load(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Full refresh of a catalog table bucketed and sorted by its join keys.
+
+    Tables bucketed alike are joined, grouped and ranked by these keys without a shuffle.
+    """
+    (
+        df.repartition(buckets, *keys).write.mode("overwrite").option("path", path)
+        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> DataFrame:
     """Overwrite only the partitions that occur in ``df``; all others stay untouched.
 
