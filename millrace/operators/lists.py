@@ -51,7 +51,8 @@ def mention_lists(
         ["_id"],
     )
     known = ids.join(people, "_id", "left")
-    slots = F.array_sort(F.collect_list(F.struct(
+    # A set, so that copies of a message collapse before they are shuffled.
+    slots = F.array_sort(F.collect_set(F.struct(
         "_p", "_id", F.coalesce("_name", F.lit("")).alias("_name"),
         F.coalesce("_email", F.lit("")).alias("_email"),
     )))

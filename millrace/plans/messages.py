@@ -72,7 +72,9 @@ def stage_messages(
     for name in ("text", "user", "username"):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
-    rows = mention_lists(rows, directory, ["SRC_TS"], "text")
+    # The same message may come in several versions at once.
+    rows = rows.withColumn("_version", F.xxhash64("text"))
+    rows = mention_lists(rows, directory, ["SRC_TS", "_version"], "text")
     rows = coalesce_identity(rows, directory)
     return rows.select(
         *SCALARS.values(), *SECTIONS.values(),
@@ -87,7 +89,12 @@ def latest_versions(staged: DataFrame, as_of: Column | None = None, days: int |
     """The newest version of each message, among those of the last ``days`` days."""
     if days is not None:
         staged = filter_recent(staged, "INTRNL_TS", as_of, days)
-    return latest_row_per_key(staged, ["SRC_TS"], [F.col("INTRNL_TS").desc()])
+    return latest_row_per_key(staged, ["SRC_TS"], _newest(staged, "INTRNL_TS"))
+
+
+def _newest(df: DataFrame, version: str) -> list[Column]:
+    """Newest version first; a tie is decided by content, so that reruns agree."""
+    return [F.col(version).desc(), F.xxhash64(*df.columns)]
 
 
 def detect_changed_versions(
@@ -101,7 +108,7 @@ def detect_changed_versions(
     """
     if days is not None:
         stored = filter_recent_epoch(stored, key, as_of, days)
-    latest = latest_row_per_key(stored, [key], [F.col(version).desc()]).select(
+    latest = latest_row_per_key(stored, [key], _newest(stored, version)).select(
         F.col(key).alias("_key"), F.struct(*compared).alias("_old")
     )
     joined = incoming.join(latest, incoming[key] == latest["_key"], "left")

@@ -119,6 +119,7 @@ def test_staging_from_an_export(spark):
     sent = {"messages": [
         {"ts": "1.1", "text": f"<@{U1}> thanks", "user": U1, "type": "message",
          "reactions": [{"name": "ok", "count": 2}], "replies": [{"ts": "9"}], "reply_users": ["U5"]},
+        {"ts": "1.1", "text": "no longer to anyone", "user": U1},
         {"ts": "1.2", "text": "plain", "username": "bob", "edited": {"user": U1, "ts": "5"}},
     ]}
     with open(f"{path}/page.json", "w") as f:
@@ -136,7 +137,8 @@ def test_staging_from_an_export(spark):
     assert people.count() == 2
     staged = messages.stage_messages(raw, people, now())
     assert len(staged.columns) == 30
-    first, second = staged.orderBy("SRC_TS").collect()
+    first, other, second = staged.orderBy("SRC_TS", F.col("TO_USRNM").desc_nulls_last()).collect()
+    assert (other["SRC_TS"], other["MSG_TXT"], other["TO_USRNM"]) == ("1.1", "no longer to anyone", None)
     assert (first["MSG_TXT"], first["TO_USRNM"], first["FRM_USRNM"], first["FRM_USR_EMAIL"]) == ("thanks", "ann", "ann", "1@x")
     assert first["REACTN_SCTN"] == '[{"name":"ok","count":2}]'
     assert (first["RPLIES_SCTN"], first["RPLY_USRS_SCTN"]) == ('[{"ts":"9"}]', '["U5"]')

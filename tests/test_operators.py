@@ -175,6 +175,12 @@ def test_mention_lists(spark, rows):
     assert rows(got) == [(1, "U1|U9|U1", "ann||ann", "a@x||a@x"), (2, None, None, None), (3, "U2", "", "")]
 
 
+def test_copies_of_a_message_do_not_repeat_its_mentions(spark, rows):
+    directory = spark.createDataFrame([("U1", "ann", "a@x")], "id string, name string, email string")
+    sent = spark.createDataFrame([(1, "<@U1> hi")] * 3, "m int, t string")
+    assert rows(lists.mention_lists(sent, directory, ["m"], "t"), "m", "TO_USRNM") == [(1, "ann")] * 3
+
+
 def test_lists_keep_empty_slots(spark, rows):
     df = spark.createDataFrame([(1, "a||b")], "id int, l string")
     assert rows(lists.explode_delimited(df, "l")) == [(1, 1, "a"), (1, 2, ""), (1, 3, "b")]
