@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Sealed
+from millrace.session import settle
 
 #: Lines of a window.
 LINES = 3
@@ -58,7 +59,8 @@ def drop_repeated_lines(df: DataFrame, id: str = "doc_id", text: str = "text") -
     first = windows.groupBy("h1", "h2").agg(
         F.min(F.struct("_doc", "i")).alias("first"), F.count(F.lit(1)).alias("n")
     ).where("n > 1").select("h1", "h2", "first")
-    later = windows.join(first, ["h1", "h2"]).where(
+    # Written before the join, which can split a hot window only if nothing is aggregated beside it.
+    later = windows.join(settle(first, "repeated"), ["h1", "h2"]).where(
         (F.col("_doc") != F.col("first._doc")) | (F.col("i") != F.col("first.i"))
     )
     # Windows may overlap; the set of positions merges what they cover.

@@ -93,7 +93,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     before = digest(links)
     for _ in range(most_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = settle(large, "large_star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -138,7 +138,9 @@ def fingerprint_classes(prints: DataFrame, distance: int) -> DataFrame:
     """
     keyed = prints.select("fp", F.explode(_variants(F.col("fp"), distance)).alias("key"))
     groups = keyed.groupBy("key").agg(F.min("fp").alias("first"), F.count(F.lit(1)).alias("n"))
-    members = settle(keyed.join(groups.where("n > 1").drop("n"), "key"), "signatures")
+    # Written before the join, which can split a hot key only if nothing is aggregated beside it.
+    shared = settle(groups.where("n > 1").drop("n"), "shared")
+    members = settle(keyed.join(shared, "key"), "signatures")
     stars = settle(
         members.where(F.col("fp") != F.col("first")).where(_near("fp", "first", distance))
         .select(F.col("fp").alias("a"), F.col("first").alias("b")).distinct(), "stars",
@@ -148,7 +150,7 @@ def fingerprint_classes(prints: DataFrame, distance: int) -> DataFrame:
     mixed = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
         F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "label"))["label"].alias("main")
     ).where("labels > 1").select("key", "main")
-    open_members = settle(named.join(mixed, "key"), "mixed")
+    open_members = settle(named.join(settle(mixed, "mixed"), "key"), "open_members")
     some = open_members.where(F.col("label") != F.col("main")).select("key", "main", F.col("fp").alias("a"), F.col("label").alias("la"))
     others = open_members.select("key", F.col("fp").alias("b"), F.col("label").alias("lb"))
     links = some.join(
@@ -176,7 +178,7 @@ def simhash_groups(
     rows = settle(with_fingerprint(df.select(id, *also, text), text, "_fp", shingle), "fingerprints")
     classes = settle(fingerprint_classes(rows.select(F.col("_fp").alias("fp")).distinct(), distance), "classes")
     named = rows.join(classes, F.col("_fp") == F.col("fp"))
-    least = named.groupBy("label").agg(F.min(id).alias("component_id"))
+    least = settle(named.groupBy("label").agg(F.min(id).alias("component_id")), "least")
     return named.join(least, "label").select(
         id, *also, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id", F.col("label").alias("_class")
     )
