@@ -54,7 +54,8 @@ def exact_groups(df: DataFrame, id: str = "doc_id", text: str = "text", buckets:
         F.max(F.struct(F.col(id).alias("id"), F.col("_row").alias("row"))).alias("_best"),
         F.count(F.lit(1)).alias("group_size"),
     )
-    rest = full.join(groups, "_sha").select(
+    # Written before the join, which can split a hot text only if nothing is aggregated beside it.
+    rest = full.join(settle(groups, "equal_texts"), "_sha").select(
         *df.columns, F.col("_best.id").alias("keep_id"), "group_size", (F.col("_row") == F.col("_best.row")).alias("kept")
     )
     return sealed.open(alone.unionByName(rest), "keep_id", "group_size", "kept")
