@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import Sealed, numbered
-from millrace.llm.words import WordTokenizer
+from millrace.llm.words import word_tokenizer
 
 
 class OpenWindows:
@@ -91,7 +91,7 @@ def token_pieces(
         coder = None
         for batch in batches:
             if coder is None:
-                coder = WordTokenizer(tokenizer, end)
+                coder = word_tokenizer(tokenizer, end)
             texts = batch.column("text").to_pylist()
             names, starts, lengths, totals, cells = [], [], [], [], []
             for name, ids in zip(batch.column("id").to_pylist(), coder.encode(texts), strict=True):

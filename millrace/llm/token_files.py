@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.words import WordTokenizer
+from millrace.llm.words import word_tokenizer
 
 #: A block is closed when it holds this many ids or documents.
 BLOCK_IDS = 1 << 18
@@ -115,7 +115,7 @@ def write_ids(
 
         for batch in batches:
             if coder is None:
-                coder = WordTokenizer(tokenizer, end)
+                coder = word_tokenizer(tokenizer, end)
             texts = batch.column("text").to_pylist()
             for name, ids in zip(batch.column("id").to_pylist(), coder.encode(texts), strict=True):
                 if parts and (size + len(ids) > BLOCK_IDS or len(parts) >= BLOCK_DOCS):

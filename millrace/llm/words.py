@@ -5,11 +5,25 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 
 #: A single space between two characters that no reading of "white space" includes.
 _CUT = re.compile(r" (?=\S)(?<=\S )")
+_TWO_SPACES = re.compile(r"\s\s")
+#: Pieces of plain letters, plain punctuation and single line ends: both patterns split them just there.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(rf"[{_LETTERS}.,;:!?]+(?:\n[{_LETTERS}.,;:!?]+)*")
+_PARTS = re.compile(rf"[{_LETTERS}]+|[.,;:!?]+|\n")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, the others from 256 on, in order."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (b for b in range(256) if b not in shown)
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class WordTokenizer:
@@ -19,10 +33,13 @@ class WordTokenizer:
     characters, and their patterns look no further back than it; so a text may be cut
     before such spaces and the ids of its pieces put together.  Most pieces are frequent
     words, of which each is encoded once (``tests/llm`` compares with the library on
-    arbitrary Unicode).  Beyond ``limit`` pieces the cache starts anew: memory is bounded.
+    arbitrary Unicode).  A new piece of plain letters and punctuation is put together from
+    its parts, which need no pattern; any other goes through the whole tokenizer.  Beyond
+    ``limit`` pieces the cache goes back to its first quarter, which has the frequent
+    words: memory is bounded.
     """
 
-    def __init__(self, path: str, end: int, limit: int = 300_000) -> None:
+    def __init__(self, path: str, end: int, limit: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
@@ -30,7 +47,11 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         # The strings of special tokens are ordinary text when they occur in a document.
         self._tokenizer.encode_special_tokens = True
+        #: The merges alone, for parts that are one word to the pattern.
+        self._model = self._tokenizer.model
+        self._letters = _byte_letters()
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self._drops_space = not self._tokenizer.encode(" ", add_special_tokens=False).ids
         self._end, self._limit = end, limit
         self._reset()
 
@@ -43,46 +64,115 @@ class WordTokenizer:
         self._size = np.zeros(1 << 14, dtype=np.int64)
         self._size[0] = 1
 
-    def _learn(self, keys: list[object]) -> None:
-        """Encode pieces: a string stands for itself after a space, a 1-tuple for the start of a text."""
+    def _shrink(self) -> None:
+        """Forget all pieces but the first ones."""
+        kept = self._limit // 4
+        if self._at[kept] > 4 * self._limit:
+            self._reset()
+            return
+        self._code = dict(islice(self._code.items(), kept))
+        self._used = int(self._at[kept])
+        self._flat = self._flat[:max(self._used, 1 << 16)].copy()
+
+    def _add(self, keys: list[object], sizes: np.ndarray, ids: np.ndarray) -> None:
+        n = len(self._code)
+        while len(self._at) < n + len(keys):
+            self._at, self._size = (np.concatenate([a, np.zeros_like(a)]) for a in (self._at, self._size))
+        while len(self._flat) < self._used + len(ids):
+            self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
+        self._size[n:n + len(keys)] = sizes
+        self._at[n:n + len(keys)] = self._used + np.cumsum(sizes) - sizes
+        self._flat[self._used:self._used + len(ids)] = ids
+        self._used += len(ids)
+        self._code.update(zip(keys, range(n, n + len(keys)), strict=True))
+
+    def _encode(self, keys: list[object]) -> None:
+        space = "" if self._drops_space else " "
         for begin in range(0, len(keys), 4096):
             part = keys[begin:begin + 4096]
             coded = self._tokenizer.encode_batch_fast(
-                [k[0] if isinstance(k, tuple) else " " + k for k in part], add_special_tokens=False
+                [k[0] if isinstance(k, tuple) else space + k for k in part], add_special_tokens=False
             )
-            ids = [e.ids for e in coded]
-            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            n, total = len(self._code), int(sizes.sum())
-            while len(self._at) < n + len(part):
-                self._at, self._size = (np.concatenate([a, np.zeros_like(a)]) for a in (self._at, self._size))
-            while len(self._flat) < self._used + total:
-                self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
-            self._size[n:n + len(part)] = sizes
-            self._at[n:n + len(part)] = self._used + np.cumsum(sizes) - sizes
-            self._flat[self._used:self._used + total] = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=total)
-            self._used += total
-            self._code.update(zip(part, range(n, n + len(part)), strict=True))
+            self._add_lists(part, [e.ids for e in coded])
+
+    def _encode_words(self, keys: list[object]) -> None:
+        """Parts that ``_PARTS`` finds: no normalising but lower case, no pattern, only the merges."""
+        merge, letters, before = self._model.tokenize, self._letters, "" if self._drops_space else self._letters[32]
+        ids = []
+        for key in keys:
+            glued = isinstance(key, tuple)
+            word = key[0] if glued else key
+            if self._drops_space:
+                word = word.lower()
+            if not word.isascii() or word == "\n":
+                word = word.encode().decode("latin-1").translate(letters)
+            ids.append([t.id for t in merge(word if glued else before + word)])
+        self._add_lists(keys, ids)
+
+    def _add_lists(self, keys: list[object], ids: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        self._add(keys, sizes, np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum())))
+
+    def _gather(self, keys: list[object]) -> tuple[np.ndarray, np.ndarray]:
+        """The sizes of known pieces, and their ids one after the other."""
+        codes = np.fromiter(map(self._code.__getitem__, keys), dtype=np.int64, count=len(keys))
+        sizes = self._size[codes]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return sizes, self._flat[np.repeat(self._at[codes] - (ends - sizes), sizes) + np.arange(total)]
+
+    def _learn(self, keys: set[object]) -> None:
+        """Encode pieces: a string stands for itself after a space, a 1-tuple for one that follows none."""
+        whole, single, joined, parts, counts = [], set(), [], [], []
+        for key in keys:
+            glued = isinstance(key, tuple)
+            text = key[0] if glued else key
+            if not _PLAIN.fullmatch(text):
+                whole.append(key)
+                continue
+            own: list[object] = _PARTS.findall(text)
+            if len(own) == 1:
+                single.add(key)
+                continue
+            if self._drops_space:
+                own = [p for p in own if p != "\n"]
+            else:
+                own[0 if glued else 1:] = [(p,) for p in own[0 if glued else 1:]]
+            joined.append(key)
+            parts += own
+            counts.append(len(own))
+        self._encode(whole)
+        single.update(parts)
+        self._encode_words(list(single.difference(self._code)))
+        if joined:
+            sizes, ids = self._gather(parts)
+            self._add(joined, np.add.reduceat(sizes, np.cumsum([0, *counts[:-1]])), ids)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text (null: empty), the end id last."""
         if len(self._code) > self._limit or self._used > 16 * self._limit:
-            self._reset()
+            self._shrink()
         keys: list[object] = []
         bounds = [0]
         for text in texts:
-            pieces: list[object] = _CUT.split(text or "")
-            pieces[0] = (pieces[0],)
+            text = text or ""
+            even = not _TWO_SPACES.search(text) and text[:1] != " " and text[-1:] != " "
+            pieces: list[object] = text.split(" ") if even else _CUT.split(text)
+            if not self._drops_space:
+                pieces[0] = (pieces[0],)
             keys += pieces
             keys.append(None)
             bounds.append(len(keys))
         unknown = set(keys).difference(self._code)
         if unknown:
-            self._learn(list(unknown))
-        codes = np.fromiter(map(self._code.__getitem__, keys), dtype=np.int64, count=len(keys))
-        sizes = self._size[codes]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self._flat[np.repeat(self._at[codes] - (ends - sizes), sizes) + np.arange(total)]
-        cuts = np.concatenate([[0], ends])[bounds]
+            self._learn(unknown)
+        sizes, ids = self._gather(keys)
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[bounds]
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
             yield ids[low:high]
+
+
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str, end: int) -> WordTokenizer:
+    """One per Python worker, so that its tasks share the cache."""
+    return WordTokenizer(path, end)
