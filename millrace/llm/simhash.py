@@ -136,14 +136,17 @@ def fingerprint_classes(prints: DataFrame, distance: int) -> DataFrame:
     others of another label.  Within a label nothing is left to find, so the result is
     that of all pairs, and the join gives only links between different labels.
     """
-    keyed = prints.select("fp", F.explode(_variants(F.col("fp"), distance)).alias("key"))
-    groups = keyed.groupBy("key").agg(F.min("fp").alias("first"), F.count(F.lit(1)).alias("n"))
-    # Written before the join, which can split a hot key only if nothing is aggregated beside it.
-    shared = settle(groups.where("n > 1").drop("n"), "shared")
-    members = settle(keyed.join(shared, "key"), "signatures")
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = prints.repartition(parts, "fp").select("fp", F.explode(_variants(F.col("fp"), distance)).alias("key"))
+    groups = keyed.groupBy("key").agg(F.min("fp").alias("first"), F.max("fp").alias("last"), F.count(F.lit(1)).alias("n"))
+    # Written before the join, which can split a hot key only if nothing is aggregated beside it.  A group of
+    # two, as chance makes them, is its smallest and its largest member: verified here, it is never joined.
+    shared = settle(groups.where((F.col("n") > 2) | (F.col("n") == 2) & _near("first", "last", distance)), "shared")
+    members = settle(keyed.join(shared.where("n > 2").select("key", "first"), "key"), "signatures")
     stars = settle(
         members.where(F.col("fp") != F.col("first")).where(_near("fp", "first", distance))
-        .select(F.col("fp").alias("a"), F.col("first").alias("b")).distinct(), "stars",
+        .select(F.col("fp").alias("a"), F.col("first").alias("b"))
+        .unionByName(shared.where("n = 2").select(F.col("last").alias("a"), F.col("first").alias("b"))).distinct(), "stars",
     )
     labels = settle(_labelled(prints, stars), "labels")
     named = settle(members.drop("first").join(labels, "fp"), "named")
