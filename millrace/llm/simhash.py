@@ -137,8 +137,13 @@ def fingerprint_classes(prints: DataFrame, distance: int) -> DataFrame:
     that of all pairs, and the join gives only links between different labels.
     """
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = prints.repartition(parts, "fp").select("fp", F.explode(_variants(F.col("fp"), distance)).alias("key"))
-    groups = keyed.groupBy("key").agg(F.min("fp").alias("first"), F.max("fp").alias("last"), F.count(F.lit(1)).alias("n"))
+    # By a hash, as Spark would drop a repartition by the column that the rows were made distinct by.
+    keyed = prints.repartition(parts, F.xxhash64("fp")).select("fp", F.explode(_variants(F.col("fp"), distance)).alias("key"))
+    groups = keyed.groupBy("key").agg(
+        F.min("fp").alias("first"), F.max("fp").alias("last"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("fp")).alias("all"),
+    )
+    # Signatures with the same members (the same ends, number and sum of hashes) say the same: one of them is enough.
+    groups = groups.where("n > 1").groupBy("first", "last", "n", "all").agg(F.min("key").alias("key"))
     # Written before the join, which can split a hot key only if nothing is aggregated beside it.  A group of
     # two, as chance makes them, is its smallest and its largest member: verified here, it is never joined.
     shared = settle(groups.where((F.col("n") > 2) | (F.col("n") == 2) & _near("first", "last", distance)), "shared")
