@@ -92,18 +92,12 @@ def _ddl_report(spark: SparkSession, folder: str) -> DataFrame:
 @query("build_column_list", f"""
 WITH {SOURCE_SQL}
 SELECT table_name AS "Source_Table_Nm", string_agg(concat('"', column_name, '"'), ',' ORDER BY position) AS "Source_Column_Names",
-  table_name AS "Target_Table_Nm", CASE WHEN max(size) > 1000 THEN 'N' ELSE 'Y' END AS "Extract_Process_Active_Ind",
+  table_name AS "Target_Table_Nm", 'Y' AS "Extract_Process_Active_Ind",
   'N' AS "Extract_Processed_Ind"
 FROM source GROUP BY table_name
 """)
 def _build_column_list(spark: SparkSession, folder: str) -> DataFrame:
-    columns = measured(spark, folder)
-    listed = build_column_list(columns)
-    wide = columns.where("size > 1000").select(F.col("table_name").alias("Source_Table_Nm")).distinct()
-    # Tables with very wide text are switched off.
-    return listed.join(wide.withColumn("wide", F.lit(True)), "Source_Table_Nm", "left").withColumn(
-        "Extract_Process_Active_Ind", F.when(F.col("wide"), "N").otherwise(F.col("Extract_Process_Active_Ind"))
-    ).drop("wide")
+    return build_column_list(measured(spark, folder))
 
 
 @query("exclude_pii_columns", f"""
