@@ -147,7 +147,8 @@ def fingerprint_classes(prints: DataFrame, distance: int) -> DataFrame:
     # Written before the join, which can split a hot key only if nothing is aggregated beside it.  A group of
     # two, as chance makes them, is its smallest and its largest member: verified here, it is never joined.
     shared = settle(groups.where((F.col("n") > 2) | (F.col("n") == 2) & _near("first", "last", distance)), "shared")
-    members = settle(keyed.join(shared.where("n > 2").select("key", "first"), "key"), "signatures")
+    # ``shared`` grows with the documents, so it is merged at every size and never broadcast.
+    members = settle(keyed.join(shared.where("n > 2").select("key", "first").hint("merge"), "key"), "signatures")
     stars = settle(
         members.where(F.col("fp") != F.col("first")).where(_near("fp", "first", distance))
         .select(F.col("fp").alias("a"), F.col("first").alias("b"))
