@@ -523,11 +523,21 @@ def _stream_file_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("stream_dedup_versions", _EVENTS_SQL)
 def _stream_dedup_versions(spark: SparkSession, folder: str) -> DataFrame:
-    path, schema = _event_files(spark, folder, repeated=True)
-    target = scratch_path(spark, "deduplicated")
-    stream = jobs.read_folder(spark, path, schema, files_per_batch=3)
-    _drain(jobs.stream_dedup_versions(stream, ["event_id", "ts"], "ts", target, scratch_path(spark, "dedup-state")))
-    return spark.read.schema(schema).parquet(target).selectExpr("event_id", "user_id", "event_type", EXACT_TS)
+    """Events, then files whose rows all are older than the look-back, most of them repeats."""
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.col("event_id") % 3 == 0
+    shift = F.expr("interval 400 days")
+    path, target, state = (scratch_path(spark, n) for n in ("event-files", "deduplicated", "dedup-state"))
+    first = events.unionByName(events.where("event_type = 'purchase'")).where(~late).withColumn("ts", F.col("ts") + shift)
+    second = events.where(late).unionByName(events.where(late)).unionByName(first.where("event_type = 'purchase'"))
+    for delivery in (first, second):
+        delivery.repartition(2).write.mode("append").parquet(path)
+        stream = jobs.read_folder(spark, path, events.schema, files_per_batch=3)
+        _drain(jobs.stream_dedup_versions(stream, ["event_id", "ts"], "ts", target, state))
+    moved = F.when(late, F.col("ts")).otherwise(F.col("ts") - shift)
+    return spark.read.schema(events.schema).parquet(target).withColumn("ts", moved).selectExpr(
+        "event_id", "user_id", "event_type", EXACT_TS
+    )
 
 
 @query("stream_upsert_latest", f"""

@@ -58,11 +58,28 @@ def control_driven_extract(
     return spark.createDataFrame(counts, COUNTS)
 
 
+#: Binary literals of 16, 24 and 32 bytes as plans print them.
+KEY_LITERAL = "0x(?:[0-9A-Fa-f]{64}|[0-9A-Fa-f]{48}|[0-9A-Fa-f]{32})(?![0-9A-Fa-f])"
+REDACTION = "spark.sql.redaction.string.regex"
+
+
+def redact_keys(spark: SparkSession) -> None:
+    """Add ``KEY_LITERAL`` to what the session redacts in plan texts."""
+    rule = spark.conf.get(REDACTION, None)
+    if not rule:
+        spark.conf.set(REDACTION, KEY_LITERAL)
+    elif KEY_LITERAL not in rule:
+        spark.conf.set(REDACTION, f"(?:{rule})|{KEY_LITERAL}")
+
+
 def encrypt_column_on_load(df: DataFrame, raw: str, encrypted: str, key: Column) -> DataFrame:
     """The raw value goes into ``encrypted`` (AES-GCM) and is cleared.
 
-    The key is an expression passed in; it is not stored anywhere.
+    The key is an expression passed in and not stored.  Spark prints literals in plans, so
+    hex literals as long as a key are redacted there from now on in this session.  The node
+    descriptions in an event log are not covered: protect such logs like the key.
     """
+    redact_keys(df.sparkSession)
     kind = df.schema[raw].dataType
     return df.withColumn(encrypted, F.aes_encrypt(F.col(raw).cast("string"), key, F.lit("GCM"))).withColumn(
         raw, F.lit(None).cast(kind)

@@ -8,9 +8,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.operators.joins import anti_join
-from millrace.session import scratch_path
+from millrace.operators.joins import anti_join, semi_join
+from millrace.session import scratch_path, settle
 from millrace.sources.files import csv_scan
 
 #: Partition column of bucketed tables.
@@ -63,25 +64,70 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def replace_in_buckets(df: DataFrame, path: str, batch: str, buckets: int = 1024) -> DataFrame:
+def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def replace_batches(df: DataFrame, path: str, batch: str, delivered: DataFrame | None = None) -> DataFrame:
+    """Replace whole batches in a table with a partition for each.
+
+    Batches of ``delivered`` without a row in ``df`` are emptied: a partition that is not
+    written is not overwritten, so its folder is deleted after the write.  Repeating the
+    call after a failure at any point gives the same table.
+    """
+    spark = df.sparkSession
+    table = replace_partitions(df, path, [batch])
+    if delivered is None:
+        return table
+    gone = anti_join(delivered.select(batch), df, {batch: batch})
+    folders = semi_join(
+        table.select(F.col(batch), F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")), gone, {batch: batch}
+    ).select("folder").distinct()
+    for row in folders.toLocalIterator():
+        _delete_folder(spark, row["folder"])
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def replace_in_buckets(
+    df: DataFrame, path: str, batch: str, buckets: int = 1024, delivered: DataFrame | None = None
+) -> DataFrame:
     """Replace whole batches in a table partitioned by a hash of the batch.
 
     For tables with too many batches for a folder each.  Only the buckets of the
     incoming batches are read and rewritten; other batches in them are carried over.
-    Their old files go when the new ones are committed, so a repeated task finds them.
+    Batches of ``delivered`` without a row in ``df`` are emptied.  Old files go when the
+    new ones are committed, so a repeated task finds them.
     """
     spark = df.sparkSession
-    incoming = df.withColumn(BUCKET, F.pmod(F.xxhash64(batch), F.lit(buckets)).cast("int"))
-    try:
-        old = spark.read.schema(incoming.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    number = F.pmod(F.xxhash64(batch), F.lit(buckets)).cast("int").alias(BUCKET)
+    incoming = settle(df.select("*", number), "incoming")
+    old = _existing(spark, path, incoming.schema)
+    if old is None:
         return replace_partitions(incoming, path, [BUCKET]).drop(BUCKET)
+    cleared = incoming.select(batch, BUCKET)
+    if delivered is not None:
+        cleared = cleared.unionByName(delivered.select(batch, number))
     # At most ``buckets`` numbers; as literals they prune the partitions read.
-    touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
-    kept = anti_join(old.where(F.col(BUCKET).isin(touched)), incoming, {batch: batch})
-    return replace_partitions(kept.unionByName(incoming), path, [BUCKET]).drop(BUCKET)
+    touched = {r[0] for r in cleared.select(BUCKET).distinct().collect()}
+    kept = anti_join(old.where(F.col(BUCKET).isin(list(touched))), cleared, {batch: batch})
+    result = settle(kept.unionByName(incoming), "buckets")
+    left = {r[0] for r in result.select(BUCKET).distinct().collect()}
+    table = replace_partitions(result, path, [BUCKET])
+    if touched <= left:
+        return table.drop(BUCKET)
+    for emptied in sorted(touched - left):
+        _delete_folder(spark, f"{path}/{BUCKET}={emptied}")
+    return spark.read.schema(result.schema).parquet(path).drop(BUCKET)
 
 
 def gzip_csv_stage(df: DataFrame, path: str) -> DataFrame:
@@ -107,15 +153,19 @@ def temp_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_batches(
-    frames: Mapping[str, DataFrame], root: str, batch: str = "Batch_Run_Id", buckets: int | None = None
+    frames: Mapping[str, DataFrame], root: str, batch: str = "Batch_Run_Id", buckets: int | None = None,
+    delivered: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Write each frame below ``root``; batches delivered again replace their rows.
 
-    One partition per batch, or ``buckets`` of them where there are very many batches.
+    ``delivered`` has the batches of this delivery in its column ``batch``; they are cleared
+    in every table, also where a frame has no row of them.  Without it a batch is replaced
+    only in the tables that it has rows for.  One partition per batch, or ``buckets`` of them
+    where there are very many batches.
     """
     if buckets is not None:
-        return {n: replace_in_buckets(df, f"{root}/{n}", batch, buckets) for n, df in frames.items()}
-    return {n: replace_partitions(df, f"{root}/{n}", [batch]) for n, df in frames.items()}
+        return {n: replace_in_buckets(df, f"{root}/{n}", batch, buckets, delivered) for n, df in frames.items()}
+    return {n: replace_batches(df, f"{root}/{n}", batch, delivered) for n, df in frames.items()}
 
 
 def batch_tables(spark: SparkSession, root: str, schemas: Mapping[str, str]) -> dict[str, DataFrame]:

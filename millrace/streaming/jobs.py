@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.windows import latest_row_per_key
+from millrace.session import settle
 
 
 def read_folder(
@@ -32,19 +37,40 @@ def stream_file_ingest(stream: DataFrame, target: str, checkpoint: str) -> Strea
     )
 
 
-def dedup_versions(
-    stream: DataFrame, keys: Sequence[str], event_time: str, look_back: str = "30 days"
-) -> DataFrame:
-    """One row per key within the look-back; state older than that is dropped."""
-    return stream.withWatermark(event_time, look_back).dropDuplicatesWithinWatermark(list(keys))
-
-
 def stream_dedup_versions(
     stream: DataFrame, keys: Sequence[str], event_time: str, target: str, checkpoint: str,
     look_back: str = "30 days",
 ) -> StreamingQuery:
-    """Append re-polled history without its repeats."""
-    return stream_file_ingest(dedup_versions(stream, keys, event_time, look_back), target, checkpoint)
+    """Append re-polled history without its repeats, however late a row arrives.
+
+    A row is a repeat if one with the same keys (NULL equals NULL), at most ``look_back``
+    apart, is stored already or precedes it in its batch; any other row is new and is kept,
+    old or not.  A batch is compared with the keys stored around its own times only, and
+    writes its own partition, which a replay overwrites.
+    """
+    apart = F.expr(f"interval {look_back}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, time = batch.sparkSession, F.col(event_time)
+        rows = settle(batch.dropDuplicates(list({*keys, event_time})), "delivery")
+        before = F.lag(event_time).over(Window.partitionBy(*keys).orderBy(event_time))
+        new = rows.withColumn("_before", before).where(F.col("_before").isNull() | (time - F.col("_before") > apart)).drop("_before")
+        if batch_id > 0:
+            first, last = rows.agg(F.min(event_time) - apart, F.max(event_time) + apart).first()
+            stored = spark.read.schema(T.StructType([*batch.schema, T.StructField("batch_id", T.LongType())])).parquet(target)
+            near = time.isNull() if first is None else time.isNull() | time.between(F.lit(first), F.lit(last))
+            side = stored.where(F.col("batch_id") < batch_id).where(near).select(
+                *[F.col(k).alias(f"_k_{k}") for k in keys], time.alias("_k_time")
+            ).distinct()
+            same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+            close = (F.col("_k_time").isNull() & time.isNull()) | F.col("_k_time").between(time - apart, time + apart)
+            new = new.join(side, reduce(and_, [*same, close]), "left_anti")
+        new.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    return (
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
 
 
 def stream_upsert_latest(
@@ -77,5 +103,15 @@ def read_latest(
 
 
 def compact(latest: DataFrame, target: str) -> None:
-    """Start a new target from the current table, to keep the number of batches small."""
-    latest.write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    """Start a new target from the current table, to keep the number of batches small.
+
+    ``target`` must not exist, as the table may still be read from the old one.
+    """
+    try:
+        latest.sparkSession.read.schema(latest.schema).parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        latest.write.parquet(f"{target}/batch_id=-1")
+    else:
+        raise ValueError(f"{target} exists; compact into a new folder")

@@ -124,6 +124,15 @@ def test_encryption_round_trip(spark):
     assert [tuple(r) for r in back] == [(None, "12.5"), (None, None)]
 
 
+def test_plan_text_does_not_hold_the_key(spark, capsys):
+    for secret in (b"0123456789abcdef", b"0123456789abcdef01234567", b"0123456789abcdef0123456789abcdef"):
+        df = spark.createDataFrame([(1, 12.5)], "id int, rate double")
+        extract.encrypt_column_on_load(df, "rate", "rate_ENCRPTD", F.lit(secret)).explain(True)
+        text = capsys.readouterr().out
+        assert "aes_encrypt" in text.lower() or "redacted" in text.lower()
+        assert secret.hex() not in text.lower()
+
+
 CSV = "ID,NOTE,START_DT,SEEN_TS,PIN_ENCRPTD,FAX\n1,,2024-01-01,,ab,\n2,  ,,,c,\n3,\"a, b\",2024-01-03,2024-01-04,,\n"
 
 
@@ -214,6 +223,22 @@ def test_repeats_within_the_look_back_are_dropped(spark, inbox, rows):
     assert rows(spark.read.parquet(target), "k", "v") == [("a", day(1)), ("a", day(2)), ("b", day(1))]
 
 
+def test_rows_older_than_the_look_back_are_kept(spark, inbox, rows):
+    path, put = inbox
+    target, state = scratch_path(spark, "t"), scratch_path(spark, "s")
+    deliveries = (
+        [("a", dt.datetime(2024, 3, 1), 1)], [("b", dt.datetime(2024, 3, 2), 1), (None, None, 1), (None, None, 2)],
+        [("c", dt.datetime(2024, 1, 1), 1), ("a", dt.datetime(2024, 1, 1), 1), ("b", dt.datetime(2024, 3, 9), 1), (None, None, 1)],
+        [("c", dt.datetime(2024, 1, 2), 1)])
+    for batch in deliveries:
+        put(*batch)
+        jobs.stream_dedup_versions(
+            jobs.read_folder(spark, path, schema(spark)), ["k"], "v", target, state).awaitTermination()
+    got = [tuple(r) for r in spark.read.parquet(target).select("k", F.date_format("v", "MM-dd")).collect()]
+    assert sorted(got, key=str) == sorted(
+        [("a", "03-01"), ("b", "03-02"), (None, None), ("c", "01-01"), ("a", "01-01")], key=str)
+
+
 def test_latest_version_over_batches(spark, inbox, rows):
     path, put = inbox
     target, state = scratch_path(spark, "t"), scratch_path(spark, "s")
@@ -230,3 +255,5 @@ def test_latest_version_over_batches(spark, inbox, rows):
     compacted = scratch_path(spark, "c")
     jobs.compact(latest, compacted)
     assert rows(jobs.read_latest(spark, compacted, schema(spark), ["k"], newest), "k", "x") == expected
+    with pytest.raises(ValueError, match="exists"):
+        jobs.compact(latest, target)
