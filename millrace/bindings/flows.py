@@ -28,6 +28,7 @@ from millrace.plans.project_plan import BATCH, plan_stage_to_integrated
 from millrace.session import scratch_path, settle
 from millrace.sinks.tables import truncate_load
 from millrace.sources.files import csv_scan
+from millrace.sources.tables import control_table_scan
 from millrace.streaming import jobs
 
 
@@ -348,14 +349,44 @@ CONTROL = [
 ]
 
 
-@query("control_driven_extract", " UNION ALL ".join(
-    f"""SELECT '{t}' AS table_name, count(*) AS "Num_Rows_Read", count(*) AS "Total_Rows_To_Target" FROM {t}"""
-    for t, _ in CONTROL if t != "supplier"
-))
+#: The table that the events of one type stand for in the ledger of the extract; ``absent`` does not exist.
+LEDGER_STEPS = {"click": "customer", "view": "orders", "signup": "supplier", "error": "absent", "purchase": "lineitem"}
+_STEP_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LEDGER_STEPS.items()) + " END"
+
+
+@query("control_driven_extract", f"""
+WITH ledger AS (SELECT {_STEP_SQL} AS step, ts, row_number() OVER (PARTITION BY {_STEP_SQL} ORDER BY ts DESC, event_id DESC) AS rn,
+    CASE WHEN event_type = 'signup' THEN 'STRT' ELSE 'CPLT' END AS status FROM events),
+counts AS ({" UNION ALL ".join(f"SELECT '{t}' AS step, count(*) AS n, true AS ok FROM {t}" for t, _ in CONTROL)}
+  UNION ALL SELECT 'absent', 0, false),
+due AS (SELECT counts.*, ts FROM counts LEFT JOIN (SELECT * FROM ledger WHERE rn = 1) l USING (step)
+  WHERE coalesce(status, 'CPLT') = 'CPLT')
+SELECT step, 'STRT' AS status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS window_start, '{AS_OF}' AS window_end,
+  '9999-12-31 00:00:00' AS process_end, CAST(0 AS BIGINT) AS "Num_Rows_Read", CAST(0 AS BIGINT) AS "Total_Rows_To_Target",
+  false AS has_error FROM due
+UNION ALL SELECT step, CASE WHEN ok THEN 'CPLT' ELSE 'FAIL' END, strftime(ts, '%Y-%m-%d %H:%M:%S'), '{AS_OF}',
+  CASE WHEN ok THEN '{AS_OF}' ELSE '9999-12-31 00:00:00' END, n, n, NOT ok FROM due
+""")
 def _control_driven_extract(spark: SparkSession, folder: str) -> DataFrame:
-    return extract.control_driven_extract(
-        spark, CONTROL, lambda t: table(spark, folder, t), scratch_path(spark, "extract"),
-        may_start={"supplier": False},
+    kind = F.col("event_type")
+    names = F.create_map(*[F.lit(x) for pair in LEDGER_STEPS.items() for x in pair])
+    so_far = table(spark, folder, "events").select(
+        "event_id", F.try_element_at(names, kind).alias("step"), F.col("ts").alias("event_ts"),
+        F.when(kind == "signup", "STRT").otherwise("CPLT").alias("status"),
+    )
+    listed = spark.createDataFrame(
+        [("main", *row, "Y") for row in [*CONTROL, ("absent", '"id"')]] + [("main", "part", '"p_partkey"', "N")],
+        "Source_Db_Nm string, Source_Table_Nm string, Source_Column_Names string, Extract_Process_Active_Ind string",
+    )
+    control = control_table_scan(truncate_load(listed, scratch_path(spark, "control")), "main")
+    started, closed = extract.extract_with_ledger(
+        spark, control, so_far, lambda t: table(spark, folder, t), scratch_path(spark, "extract"), ts(AS_OF)
+    )
+    return started.unionByName(closed).select(
+        "step", "status", format_seconds(F.col("window_start")).alias("window_start"),
+        format_seconds(F.col("window_end")).alias("window_end"),
+        format_seconds(F.col("Process_End_Ts")).alias("process_end"), "Num_Rows_Read", "Total_Rows_To_Target",
+        (F.col("Process_Error_Desc") != "").alias("has_error"),
     )
 
 

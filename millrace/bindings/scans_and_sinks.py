@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,7 @@ from millrace.plans.project_plan import BATCH, plan_schema, PlanMapping
 from millrace.session import scratch_path
 from millrace.sinks import tables as sinks
 from millrace.sources.files import (
-    csv_folder_scan,
+    csv_folder_tables,
     csv_scan,
     json_messages_scan,
     json_users_scan,
@@ -39,16 +41,21 @@ def _csv_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("csv_folder_scan", """
-SELECT 'customer' AS table_name, c_custkey AS row_key, c_name AS row_name, c_acctbal AS balance FROM customer
-UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal FROM supplier
+SELECT * FROM (SELECT 'customer' AS table_name, * FROM customer)
+UNION ALL BY NAME SELECT * FROM (SELECT 'supplier' AS table_name, * FROM supplier)
 """)
 def _csv_folder_scan(spark: SparkSession, folder: str) -> DataFrame:
-    customer, supplier = tables(spark, folder, "customer", "supplier")
+    given = dict(zip(("customer", "supplier"), tables(spark, folder, "customer", "supplier")))
     root = scratch_path(spark, "csv-folder")
-    customer.select("c_custkey", "c_name", "c_acctbal").write.option("header", True).csv(f"{root}/customer.csv")
-    supplier.select("s_suppkey", "s_name", "s_acctbal").write.option("header", True).csv(f"{root}/supplier.csv")
-    supplier.write.json(f"{root}/stray")
-    return csv_folder_scan(spark, root, "row_key bigint, row_name string, balance double")
+    for name, df in given.items():
+        # The files' columns stand in another order than the schemas'.
+        df.select(*reversed(df.columns)).write.option("header", True).csv(f"{root}/{name}.csv")
+    given["supplier"].write.json(f"{root}/stray")
+    read = csv_folder_tables(spark, root, {name: df.schema for name, df in given.items()})
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [df.select(F.lit(name).alias("table_name"), "*") for name, df in read.items()],
+    )
 
 
 @query("gzip_csv_stage", "SELECT * FROM part")

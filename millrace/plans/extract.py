@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.dates import format_seconds
+from millrace.plans.ledger import COUNTERS, close_events, gate, open_events
+from millrace.session import settle
 from millrace.sinks.tables import truncate_load
 from millrace.sources.tables import table_projected_scan
 
@@ -58,6 +60,44 @@ def control_driven_extract(
     return spark.createDataFrame(counts, COUNTS)
 
 
+RESULTS = "step string, ok boolean, " + ", ".join(f"{c} bigint" for c in COUNTERS) + ", error string"
+
+
+def extract_with_ledger(
+    spark: SparkSession, control: DataFrame, events: DataFrame,
+    source: Callable[[str], DataFrame], target_root: str, now: Column, parallel: int = 4,
+) -> tuple[DataFrame, DataFrame]:
+    """Start and end events of one run over the control list, to be appended to the ledger.
+
+    ``control`` is a result of ``control_table_scan``; ``events`` the ledger so far, whose
+    steps are table names.  A table starts if its last event is completed or if it has
+    none; the others get no events.  A table that fails is closed as failed with its
+    error, and the rest goes on.  Both results are as long as the control list, which
+    is read by the driver.
+    """
+    listed = control.select(F.col("Source_Table_Nm").alias("step"), F.col("Source_Column_Names").alias("_columns"))
+    last = gate(events).select("step", "may_start", F.col("event_ts").alias("_last"))
+    ready = settle(listed.join(last, "step", "left").select(
+        "step", "_columns", F.coalesce("may_start", F.lit(True)).alias("may_start"),
+        F.col("_last").cast("timestamp_ntz").alias("window_start"), now.cast("timestamp_ntz").alias("window_end"),
+    ), "ready")
+    started = settle(open_events(ready, now), "started")
+
+    def run(item: tuple[str, str]) -> tuple:
+        step, columns = item
+        try:
+            n_read, loaded = extract_table(source(step), columns, f"{target_root}/{step}")
+            n_loaded = loaded.count()
+        except Exception as error:  # noqa: BLE001  (whatever ends one table is its event, not the end of the run)
+            return step, False, *[0] * len(COUNTERS), str(error).strip().split("\n")[0] or type(error).__name__
+        return step, True, n_read, n_read, n_read, n_loaded, None
+
+    due = [tuple(r) for r in ready.where("may_start").select("step", "_columns").collect()]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        results = list(pool.map(run, due))
+    return started, close_events(started, spark.createDataFrame(results, RESULTS), now)
+
+
 #: Binary literals of 16, 24 and 32 bytes as plans print them.
 KEY_LITERAL = "0x(?:[0-9A-Fa-f]{64}|[0-9A-Fa-f]{48}|[0-9A-Fa-f]{32})(?![0-9A-Fa-f])"
 REDACTION = "spark.sql.redaction.string.regex"

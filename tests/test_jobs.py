@@ -5,12 +5,13 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators import metadata
 from millrace.plans import extract, ledger, reload
 from millrace.session import scratch_path
 from millrace.sources.catalog import catalog_scan
-from millrace.sources.files import csv_folder_scan, csv_scan
+from millrace.sources.files import csv_folder_scan, csv_folder_tables, csv_scan, json_messages_scan, json_rejects
 from millrace.streaming import jobs
 
 
@@ -116,6 +117,33 @@ def test_extract_counts_and_formats(spark, rows):
     assert rows(spark.read.parquet(f"{root}/a")) == [(1, "2024-01-01 02:03:04")]
 
 
+def test_extract_closes_a_failing_table_and_goes_on(spark, rows):
+    control = spark.createDataFrame(
+        [("a", '"id"'), ("gone", '"id"'), ("late", '"id"')], "Source_Table_Nm string, Source_Column_Names string")
+    events = spark.createDataFrame(
+        [("a", 1, dt.datetime(2024, 1, 1), "CPLT"), ("late", 2, dt.datetime(2024, 1, 1), "STRT")],
+        "step string, event_id int, event_ts timestamp_ntz, status string")
+
+    def source(name):
+        if name == "gone":
+            raise ValueError("no such table")
+        return spark.range(3)
+
+    started, closed = extract.extract_with_ledger(
+        spark, control, events, source, scratch_path(spark, "extract"), ts("2024-02-01"))
+    assert rows(started, "step", "status", "window_start") == [("a", "STRT", dt.datetime(2024, 1, 1)), ("gone", "STRT", None)]
+    assert rows(closed, "step", "status", "Total_Rows_To_Target", "Process_Error_Desc") == [
+        ("a", "CPLT", 3, ""), ("gone", "FAIL", 0, "no such table")]
+
+
+def test_extract_of_nothing(spark, rows):
+    control = spark.createDataFrame([], "Source_Table_Nm string, Source_Column_Names string")
+    events = spark.createDataFrame([], "step string, event_id int, event_ts timestamp_ntz, status string")
+    started, closed = extract.extract_with_ledger(
+        spark, control, events, lambda name: spark.range(1), scratch_path(spark, "extract"), ts("2024-02-01"))
+    assert rows(started) == rows(closed) == []
+
+
 def test_encryption_round_trip(spark):
     df = spark.createDataFrame([(1, 12.5), (2, None)], "id int, rate double")
     key = F.lit(b"0123456789abcdef")
@@ -154,6 +182,38 @@ def csv_folder(spark):
 SCHEMA = "id string, note string, start_dt string, seen_ts string, pin_encrptd string, fax string"
 
 
+def test_each_table_of_a_folder_has_its_own_columns(spark, csv_folder, rows):
+    os.makedirs(f"{csv_folder}/deep/pets.csv")
+    for part, line in (("part-0.csv", "rex,1"), ("part-1.csv", "tom,2")):
+        with open(f"{csv_folder}/deep/pets.csv/{part}", "w") as f:
+            f.write(f"name,id\n{line}\n")
+    got = csv_folder_tables(spark, csv_folder, {"people": "id int, note string", "pets": "id int, name string", "none": "x int"})
+    assert sorted(got) == ["people", "pets"]
+    assert rows(got["pets"]) == [(1, "rex"), (2, "tom")]
+    assert [r["id"] for r in got["people"].orderBy("id").collect()] == [1, 2, 3]
+
+
+def test_broken_json_pages_are_returned(spark, rows):
+    path = scratch_path(spark, "json").removeprefix("file:")
+    os.makedirs(path)
+    with open(f"{path}/page.json", "w") as f:
+        f.write('{"messages": [{"n": 1}, {"n": 2}]}\n{"messages": [{"n": \n{"messages": [{"n": "x"}]}\n{"other": 1}\n')
+    message = T.StructType.fromDDL("n int")
+    assert rows(json_messages_scan(spark, path, message)) == [(1,), (2,)]
+    rejects = rows(json_rejects(spark, path, message))
+    assert [r[:2] for r in rejects] == [("page.json", '{"messages": [{"n": "x"}]}'), ("page.json", '{"messages": [{"n": ')]
+
+
+def test_json_page_over_several_lines(spark, rows):
+    path = scratch_path(spark, "json").removeprefix("file:")
+    os.makedirs(path)
+    with open(f"{path}/page.json", "w") as f:
+        f.write('{\n "messages": [\n  {"n": 1}\n ]\n}\n')
+    message = T.StructType.fromDDL("n int")
+    assert rows(json_messages_scan(spark, path, message, multi_line=True)) == [(1,)]
+    assert rows(json_rejects(spark, path, message, multi_line=True)) == []
+
+
 def test_reload(spark, csv_folder, rows):
     clean = reload.csv_cleanse(csv_scan(spark, f"{csv_folder}/people.csv", SCHEMA), ["NOTE", "START_DT"], ["ID"])
     assert clean.columns == ["NOTE", "START_DT", "SEEN_TS", "PIN_ENCRPTD"]
