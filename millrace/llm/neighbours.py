@@ -28,7 +28,7 @@ SEED = 5
 
 @dataclass(frozen=True)
 class Index:
-    """What the tasks need: rotation, centres, and the sample with its ids."""
+    """What the tasks need: rotation, centres, and the sample with its ids and hashes."""
 
     top: float
     rotation: np.ndarray
@@ -36,6 +36,7 @@ class Index:
     probes: int
     sample_ids: np.ndarray
     sample: np.ndarray
+    sample_hashes: np.ndarray
 
     def rotate(self, x: np.ndarray, query: bool) -> np.ndarray:
         """Vectors with a coordinate more, rotated.
@@ -69,14 +70,17 @@ def fit_index(vectors: DataFrame, n: int, dim: int, k: int) -> Index:
     """Lists, rotation and number of probes from ``SAMPLE`` vectors by hash of their id; the longest length from all."""
     rng = np.random.default_rng(SEED)
     top = vectors.agg(F.max("norm").alias("m")).first()["m"]
-    picked = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", "v").toArrow()
-    ids = picked["id"].to_numpy()
+    picked = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", "v", F.xxhash64("v").alias("h")).toArrow()
+    ids, hashes = picked["id"].to_numpy(), picked["h"].to_numpy()
     x = _matrix(picked["v"].combine_chunks(), dim)
+    # Rows with equal id and vector count once, also for the k-th best of the sample.
+    once = np.sort(np.unique(np.column_stack([ids, hashes]), axis=0, return_index=True)[1])
+    ids, hashes, x = ids[once], hashes[once], x[once]
     rotation = np.linalg.qr(rng.normal(size=(dim + 1, dim + 1)))[0]
-    plain = Index(top, rotation, np.zeros((1, dim + 1), np.float32), 1, ids, x)
+    plain = Index(top, rotation, np.zeros((1, dim + 1), np.float32), 1, ids, x, hashes)
     rotated = plain.rotate(x, False)
     lists = int(np.clip(np.sqrt(n) / 4, 1, 1024))
-    index = Index(top, rotation, _centres(rotated, lists, rng), 1, ids, x)
+    index = Index(top, rotation, _centres(rotated, lists, rng), 1, ids, x, hashes)
     # How many lists, nearest first, hold the neighbours of some sample vectors within the sample?
     asked = x[:: max(1, len(x) // 256)]
     scores = asked @ x.T
@@ -85,7 +89,24 @@ def fit_index(vectors: DataFrame, n: int, dim: int, k: int) -> Index:
     place = np.argsort(index.order(index.rotate(asked, True)), axis=1)
     needed = np.sort(np.take_along_axis(place, home[near], axis=1).ravel())
     probes = int(needed[min(len(needed) - 1, int(RECALL * len(needed)))]) + 1 if len(needed) else 1
-    return Index(top, rotation, index.centres, probes, ids, x)
+    return Index(top, rotation, index.centres, probes, ids, x, hashes)
+
+
+def best_of_sample(index: Index, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places in the sample, scores) of the k best per query, its own id left out, ties to the smaller id."""
+    rough = x @ index.sample.T
+    rough[index.sample_ids[None, :] == ids[:, None]] = -np.inf
+    # The product sums in another order than the exact score, so what is as good within rounding is scored again.
+    slack = 1e-9 * np.sqrt((x**2).sum(axis=1)) * index.top
+    kth = min(k, rough.shape[1]) - 1
+    floor = -np.partition(-rough, kth, axis=1)[:, kth] - slack
+    out = []
+    for i, row in enumerate(rough):
+        near = np.nonzero((row >= floor[i]) & (row > -np.inf))[0]
+        score = (x[i] * index.sample[near]).sum(axis=1)
+        best = np.lexsort((index.sample_ids[near], -score))[:k]
+        out.append((near[best], score[best]))
+    return out
 
 
 def adaptive_scan(
@@ -122,6 +143,10 @@ def adaptive_scan(
     return q, c
 
 
+_FOUND = ("query_id", "vec_id", "h", "score")
+_SEEDS = pa.list_(pa.struct([("vec_id", pa.int64()), ("h", pa.int64()), ("score", pa.float64())]))
+
+
 def _best(frame: pd.DataFrame, k: int) -> pd.DataFrame:
     frame = frame.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True], kind="stable")
     return frame[frame.groupby("query_id").cumcount() < k]
@@ -140,8 +165,11 @@ def nearest(
     Every vector is put in the list of its nearest centre; lists of any size are cut into
     blocks of about ``BLOCK`` vectors, and the queries of a list into groups of about
     ``QUERIES``, so a list that holds a third of all vectors is many small steps.  Each
-    query probes as many lists as reach ``RECALL`` on the sample, and starts with the
-    radius of its k-th best sample vector: what a block sends on is only what beats that.
+    query probes as many lists as reach ``RECALL`` on the sample, and starts with its k best
+    sample vectors: what a block sends on is only what beats the k-th of them, and they fill
+    the places that the lists do not.  A query with fewer than k candidates in the sample
+    probes every list.  So each query has min(k, candidates) rows, and up to ``SAMPLE``
+    vectors the result is exact; above that the lists that are not probed may hold better ones.
     """
     spark = embeddings.sparkSession
     sized = embeddings.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), asked.alias("asked"))
@@ -160,31 +188,40 @@ def nearest(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             home = index.order(index.rotate(_matrix(batch.column("v"), dim), False))[:, 0]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(home.astype(np.int32))], names=["id", "v", "list"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("v"), batch.column("h"), pa.array(home.astype(np.int32))], names=["id", "v", "h", "list"]
+            )
 
-    placed = settle(good.select("id", "v").mapInArrow(place, "id long, v array<double>, list int"), "lists")
+    placed = settle(good.select("id", "v", F.xxhash64("v").alias("h")).mapInArrow(place, "id long, v array<double>, h long, list int"), "lists")
     # One row per list, 1024 at most.
     counts = placed.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
     slices = F.broadcast(counts.select("list", F.ceil(F.col("n") / BLOCK).cast("int").alias("slices")))
     blocks = placed.join(slices, "list").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")).groupBy(
         "list", "slice"
-    ).agg(F.sort_array(F.collect_set(F.struct("id", "v"))).alias("rows"))
+    ).agg(F.sort_array(F.collect_set(F.struct("id", "v", "h"))).alias("rows"))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, ids = _matrix(batch.column("v"), dim), batch.column("id").to_numpy()
-            lists = index.order(index.rotate(x, True))[:, :index.probes]
-            scores = np.einsum("ij,kj->ik", x, index.sample)
-            scores[index.sample_ids[None, :] == ids[:, None]] = -np.inf
-            kth = min(k, scores.shape[1]) - 1
-            least = -np.partition(-scores, kth, axis=1)[:, kth] if scores.shape[1] >= k else np.full(len(x), -np.inf)
-            take = np.repeat(np.arange(len(x)), lists.shape[1])
+            lists = index.order(index.rotate(x, True))
+            best = best_of_sample(index, ids, x, k)
+            full = np.array([len(score) == k for _, score in best])
+            least = np.array([score[-1] if len(score) == k else -np.inf for _, score in best])
+            use = np.where(full, index.probes, lists.shape[1])[:, None] > np.arange(lists.shape[1])[None, :]
+            take, nth = np.nonzero(use)
+            seeds = [
+                [{"vec_id": index.sample_ids[p], "h": index.sample_hashes[p], "score": v} for p, v in zip(*best[i], strict=True)] if n == 0 else []
+                for i, n in zip(take, nth, strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids[take]), batch.column("v").take(pa.array(take)), pa.array(least[take]), pa.array(lists.ravel().astype(np.int32)),
-            ], names=["query_id", "q", "least", "list"])
+                pa.array(ids[take]), batch.column("v").take(pa.array(take)), pa.array(least[take]),
+                pa.array(lists[take, nth].astype(np.int32)), pa.array(seeds, _SEEDS),
+            ], names=["query_id", "q", "least", "list", "seeds"])
 
-    wanted = good.where("asked").select("id", "v").dropDuplicates(["id", "v"]).mapInArrow(probe, "query_id long, q array<double>, least double, list int")
+    wanted = good.where("asked").select("id", "v").dropDuplicates(["id", "v"]).mapInArrow(
+        probe, "query_id long, q array<double>, least double, list int, seeds array<struct<vec_id:long,h:long,score:double>>")
     per_list = settle(wanted, "probes")
+    seeded = per_list.where(F.size("seeds") > 0).select("query_id", F.inline("seeds"))
     groups = F.broadcast(per_list.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("groups")))
     asks = (
         per_list.join(groups, "list").join(slices, "list")
@@ -211,12 +248,14 @@ def nearest(
                 qi, ci = qi[other], ci[other]
                 # Summed the same way for every pair, so that equal vectors tie exactly.
                 score = (q[qi] * x[ci]).sum(axis=1)
-                frame = _best(pd.DataFrame({"query_id": q_ids[qi], "vec_id": ids[ci], "score": score}), k)
+                frame = _best(pd.DataFrame({"query_id": q_ids[qi], "vec_id": ids[ci], "h": rows.field("h").to_numpy()[ci], "score": score}), k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(frame[c].to_numpy()) for c in ("query_id", "vec_id", "score")], names=["query_id", "vec_id", "score"]
+                    [pa.array(frame[c].to_numpy()) for c in _FOUND], names=list(_FOUND)
                 )
 
-    found = asks.join(blocks, ["list", "slice"]).select("queries", "rows").mapInArrow(scan, "query_id long, vec_id long, score double")
+    found = asks.join(blocks, ["list", "slice"]).select("queries", "rows").mapInArrow(scan, "query_id long, vec_id long, h long, score double")
+    # A sample vector in a probed list comes from both sides.
+    found = found.unionByName(seeded).dropDuplicates(list(_FOUND))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int"), F.col("vec_id").alias(id), "score"

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import exact, line_windows, mixing, neighbours, packing, pii, quality, sharding, simhash, token_files
+from millrace.llm.queries import QUERIES
 from millrace.llm.words import WordTokenizer
 
 
@@ -227,6 +228,44 @@ def test_neighbours_of_few_and_none(spark):
     assert keyed(neighbours.nearest(few, F.col("vec_id") == 0).collect()) == [(0, 1, 1, 0.5), (0, 2, 2, 0.5)]
 
 
+def collected(found):
+    got = defaultdict(list)
+    for r in sorted(found.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append((r["vec_id"], pytest.approx(r["score"], abs=1e-9)))
+    return got
+
+
+def test_op4_gives_every_query_its_rows(spark):
+    """The sample holds all 2,000 vectors, so the result is that of the brute force."""
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    expected = brute_nearest(rows, 20)
+    assert len(expected) == 100 and all(len(e) == 20 for e in expected.values())
+    assert collected(QUERIES["op4_adaptive_scan"](spark, "/root/testdata/sf0.1")) == expected
+
+
+def test_neighbours_above_the_sample(spark):
+    """Every query has 20 rows where the index is fitted on a part of the table, and most are the true ones."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 16))[rng.integers(0, 60, 24_000)] + 0.6 * rng.normal(size=(24_000, 16))
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    assert len(rows) > 2 * neighbours.SAMPLE
+    got = collected(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0))
+    expected = brute_nearest(rows, 20)
+    assert {q: len(g) for q, g in got.items()} == {q: 20 for q in expected}
+    recall = sum(len({i for i, _ in got[q]} & {i for i, _ in expected[q]}) for q in expected) / (20 * len(expected))
+    print("recall", recall)
+    assert recall >= 0.9
+
+
+def test_neighbours_with_a_sample_of_copies(spark, monkeypatch):
+    """A sample with fewer than k candidates: every list is read."""
+    monkeypatch.setattr(neighbours, "SAMPLE", 10)
+    rng = np.random.default_rng(4)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(400, 8)).tolist())] + [(401, [1.0] * 8)] * 50
+    found = collected(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0))
+    assert found == brute_nearest(rows, 20)
+
+
 # -- SimHash ----------------------------------------------------------------------------------
 
 
