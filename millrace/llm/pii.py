@@ -184,16 +184,21 @@ def disguised(text: str) -> dict[str, list[tuple[int, int]]]:
 
 
 def find(text: str | None) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[tuple[int, int]]]]:
-    """(undisguised, added) spans per kind; added ones do not overlap undisguised ones of their kind."""
+    """(undisguised, added) spans per kind; an added one reaches beyond the undisguised ones of its kind and the added ones before it."""
     text = text or ""
     base, added = detect(text), disguised(text)
     for kind in KINDS:
-        own, kept, i = base[kind], [], 0
-        for start, end in sorted(added[kind]):
+        own, kept, i, reach = base[kind], [], 0, 0
+        for start, end in sorted(added[kind], key=lambda s: (s[0], -s[1])):
             while i < len(own) and own[i][1] <= start:
                 i += 1
-            if (i == len(own) or own[i][0] >= end) and (not kept or kept[-1][1] <= start):
+            # How far the undisguised spans cover it without a gap.
+            over, j = start, i
+            while j < len(own) and own[j][0] <= over < end:
+                over, j = own[j][1], j + 1
+            if over < end and reach < end:
                 kept.append((start, end))
+                reach = end
         added[kind] = kept
     return base, added
 
@@ -209,9 +214,10 @@ def personal_data(df: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     rewrite lookalike and full-width characters, drop characters without width, and turn
     spelled digits, "plus", and bracketed or spelled "at" and "dot" into signs, noting
     where each output came from; the same patterns run on the result, and their spans are
-    mapped back.  A span counts as disguised only if it holds something rewritten and no
-    undisguised span of its kind.  Null and empty texts give empty arrays; rows are
-    independent, so repeated ones agree.  Each text is read whole by one task.
+    mapped back.  A span counts as disguised only if it holds something rewritten and the
+    undisguised spans of its kind do not cover it whole; a partly disguised identifier thus
+    gives its undisguised part and the whole.  Null and empty texts give empty arrays; rows
+    are independent, so repeated ones agree.  Each text is read whole by one task.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -536,6 +536,19 @@ def test_disguised(text, kind, span):
     assert [(k, text[a:b]) for k, spans in added.items() for a, b in spans] == [(kind, span)]
 
 
+@pytest.mark.parametrize("text, kind, part", [
+    ("jоhn.doe@example.com", "email", "hn.doe@example.com"),
+    ("john [dot] doe@example.com", "email", "doe@example.com"),
+    ("john@mail.exаmple.com", "email", "john@mail.ex"),
+    ("+1 988 555 24８５", "phone", "+1 988 555 24"),
+])
+def test_partly_disguised(text, kind, part):
+    """The undisguised part stays and the whole is added."""
+    base, added = pii.find(f"to {text} or")
+    assert [(k, f"to {text} or"[a:b]) for k, spans in base.items() for a, b in spans] == [(kind, part)]
+    assert [(k, f"to {text} or"[a:b]) for k, spans in added.items() for a, b in spans] == [(kind, text)]
+
+
 @pytest.mark.parametrize("text", [
     "we met at noon and at the dot of one two three", "look at example.com", "Это просто русский текст о погоде", "one two three four five six",
     "ratio 1.2.3 at 50%", "x at y dot", "naïve café — déjà vu…",
