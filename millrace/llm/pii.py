@@ -33,12 +33,12 @@ _DIGIT = "zero|one|two|three|four|five|six|seven|eight|nine"
 # Ends of hosts that a plain "at" may lead to.
 _ENDS = "com|org|net|edu|gov|mil|info|biz|io|co|uk|de|fr|es|eu|ch|jp|ca|au|example|test"
 _DISGUISE = re.compile(
-    # bracketed at and dot, with the space around them
-    r"(?P<at>\s*(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>)\s*"
+    # bracketed at and dot, with the space around them; a run of space is tried from its start only
+    r"(?P<at>(?:(?<!\s)\s+)?(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>)\s*"
     # a plain at before a host with spelled or bracketed dots and a known end
-    r"|\x20+at\x20+(?=[a-z0-9-]+(?:(?:\x20+dot\x20+|\s*[\[({<]\s*dot\s*[\])}>]\s*)[a-z0-9-]+)*?"
+    r"|(?<!\x20)\x20+at\x20+(?=[a-z0-9-]+(?:(?:\x20+dot\x20+|\s*[\[({<]\s*dot\s*[\])}>]\s*)[a-z0-9-]+)*?"
     rf"(?:\x20+dot\x20+|\s*[\[({{<]\s*dot\s*[\])}}>]\s*)(?:{_ENDS})\b))"
-    r"|(?P<dot>\s*(?:\[\s*dot\s*\]|\(\s*dot\s*\)|\{\s*dot\s*\}|<\s*dot\s*>)\s*|(?<=[a-z0-9])\x20+dot\x20+(?=[a-z0-9]))"
+    r"|(?P<dot>(?:(?<!\s)\s+)?(?:\[\s*dot\s*\]|\(\s*dot\s*\)|\{\s*dot\s*\}|<\s*dot\s*>)\s*|(?<=[a-z0-9])\x20+dot\x20+(?=[a-z0-9]))"
     # a plus sign spelled before a digit
     rf"|(?P<plus>\bplus\x20+(?=(?:{_DIGIT}|[0-9])))"
     # runs of spelled digits
@@ -46,8 +46,8 @@ _DISGUISE = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 _SPELLED = re.compile(_DIGIT, re.IGNORECASE)
-#: Texts without any of these have no spelled disguise.
-_HINT = re.compile(rf"[\[({{<]\s*(?:at|dot)|\x20dot\x20|\b(?:{_DIGIT})[\x20,-]+(?:{_DIGIT})[\x20,-]", re.IGNORECASE | re.ASCII)
+#: Every match of ``_DISGUISE`` holds one of these, or stands beside one: texts without any have no spelled disguise.
+_HINT = re.compile(rf"[\[({{<]\s*(?:at|dot)|\x20dot\x20|\bplus\x20+[0-9]|\b(?:{_DIGIT})", re.IGNORECASE | re.ASCII)
 
 
 @lru_cache(maxsize=4096)
@@ -164,22 +164,27 @@ def _spellings(text: str) -> Normalised | None:
 
 
 def disguised(text: str) -> dict[str, list[tuple[int, int]]]:
-    """Identifiers that show only after normalising, as spans of the source text."""
+    """Identifiers that show only after normalising, as spans of the source text.
+
+    The patterns run on the text with its characters rewritten, and once more with its
+    spellings rewritten too, so that a spelled digit beside an identifier hides nothing.
+    """
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     first = _characters(text)
     middle = first.text if first else text
     second = _spellings(middle)
-    if not first and not second:
-        return found
-    for kind, spans in detect(second.text if second else middle).items():
-        for start, end in spans:
-            changed = False
-            for step in (second, first):
-                if step:
-                    start, end, more = step.source(start, end)
-                    changed |= more
-            if changed:
-                found[kind].append((start, end))
+    for steps, out in (((first,), middle), ((second, first), second.text if second else "")):
+        if steps[0] is None:
+            continue
+        for kind, spans in detect(out).items():
+            for start, end in spans:
+                changed = False
+                for step in steps:
+                    if step:
+                        start, end, more = step.source(start, end)
+                        changed |= more
+                if changed:
+                    found[kind].append((start, end))
     return found
 
 
@@ -213,7 +218,7 @@ def personal_data(df: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     identifiers come from fixed patterns and checks.  To find disguised ones, transducers
     rewrite lookalike and full-width characters, drop characters without width, and turn
     spelled digits, "plus", and bracketed or spelled "at" and "dot" into signs, noting
-    where each output came from; the same patterns run on the result, and their spans are
+    where each output came from; the same patterns run on the results, and their spans are
     mapped back.  A span counts as disguised only if it holds something rewritten and the
     undisguised spans of its kind do not cover it whole; a partly disguised identifier thus
     gives its undisguised part and the whole.  Null and empty texts give empty arrays; rows

@@ -549,6 +549,41 @@ def test_partly_disguised(text, kind, part):
     assert [(k, f"to {text} or"[a:b]) for k, spans in added.items() for a, b in spans] == [(kind, text)]
 
 
+@pytest.mark.parametrize("text, span", [
+    ("call plus 49 30 1234567 now", "plus 49 30 1234567"),
+    ("dial +49 three 0 one 23 four 567 now", "+49 three 0 one 23 four 567"),
+])
+def test_spelled_among_numerals(text, span):
+    for beside in ("", " also one two three", " [at]"):
+        base, added = pii.find(text + beside)
+        assert [(text + beside)[a:b] for a, b in added["phone"]] == [span] and not base["phone"]
+
+
+def test_long_space_is_read_once():
+    text = " " * 300_000 + "one jo [at]" + " " * 300_000 + "x [dot] org"
+    assert [text[a:b] for a, b in pii.find(text)[1]["email"]] == [text[text.index("jo"):]]
+
+
+def test_a_spelled_digit_hides_nothing():
+    text = "pay ４１１１ 1111 1111 1111 one day"
+    assert [text[a:b] for a, b in pii.find(text)[1]["card"]] == ["４１１１ 1111 1111 1111"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([
+    "plus", "one", "Nine", "oneself", "+49", "3", "0 1", "at", "dot", "[at]", "( dot )", "<at>", "jo", "mail", "com", "example.com", ".", ",", "-", "\n", "1234567", "５",
+]), max_size=14), st.sampled_from(["", " ", "  "]))
+def test_the_hint_loses_nothing(parts, between):
+    """With the gate and without it."""
+    text, hint = between.join(parts), pii._HINT
+    gated = pii.find(text)
+    pii._HINT = re.compile("")
+    try:
+        assert pii.find(text) == gated
+    finally:
+        pii._HINT = hint
+
+
 @pytest.mark.parametrize("text", [
     "we met at noon and at the dot of one two three", "look at example.com", "Это просто русский текст о погоде", "one two three four five six",
     "ratio 1.2.3 at 50%", "x at y dot", "naïve café — déjà vu…",
