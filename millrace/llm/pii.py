@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.top_level import TOP_LEVEL
+
 KINDS = ("email", "ip", "card", "phone")
 
 # The patterns of the identifiers.
@@ -30,13 +32,16 @@ _NOTHING = frozenset("­​‌‍⁠﻿")
 
 _DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())}
 _DIGIT = "zero|one|two|three|four|five|six|seven|eight|nine"
-# Ends of hosts that a plain "at" may lead to.
-_ENDS = "com|org|net|edu|gov|mil|info|biz|io|co|uk|de|fr|es|eu|ch|jp|ca|au|example|test"
+# A plain "at" may lead to a host of any top-level domain.
+_ENDS = "|".join(TOP_LEVEL)
+# What is no host in prose ("at the dot in the middle"), unless one of these ends follows.
+_PROSE, _SURE = "the|a|an|each|every|this|that", "com|org|net|edu|gov|mil|info|biz|io|co|uk|de|fr|es|eu|ch|jp|ca|au|example|test"
 _DISGUISE = re.compile(
     # bracketed at and dot, with the space around them; a run of space is tried from its start only
     r"(?P<at>(?:(?<!\s)\s+)?(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>)\s*"
-    # a plain at before a host with spelled or bracketed dots and a known end
-    r"|(?<!\x20)\x20+at\x20+(?=[a-z0-9-]+(?:(?:\x20+dot\x20+|\s*[\[({<]\s*dot\s*[\])}>]\s*)[a-z0-9-]+)*?"
+    # a plain at before a host with spelled or bracketed dots and a top-level domain
+    rf"|(?<!\x20)\x20+at\x20+(?!(?:{_PROSE})\x20+dot\x20+(?!(?:{_SURE})\b)[a-z0-9-]+(?![a-z0-9-])(?!\x20+dot\x20|\s*[\[({{<]\s*dot))"
+    r"(?=[a-z0-9-]+(?:(?:\x20+dot\x20+|\s*[\[({<]\s*dot\s*[\])}>]\s*)[a-z0-9-]+)*?"
     rf"(?:\x20+dot\x20+|\s*[\[({{<]\s*dot\s*[\])}}>]\s*)(?:{_ENDS})\b))"
     r"|(?P<dot>(?:(?<!\s)\s+)?(?:\[\s*dot\s*\]|\(\s*dot\s*\)|\{\s*dot\s*\}|<\s*dot\s*>)\s*|(?<=[a-z0-9])\x20+dot\x20+(?=[a-z0-9]))"
     # a plus sign spelled before a digit
@@ -221,7 +226,9 @@ def personal_data(df: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     where each output came from; the same patterns run on the results, and their spans are
     mapped back.  A span counts as disguised only if it holds something rewritten and the
     undisguised spans of its kind do not cover it whole; a partly disguised identifier thus
-    gives its undisguised part and the whole.  Null and empty texts give empty arrays; rows
+    gives its undisguised part and the whole.  A plain "at" counts before a host with
+    spelled or bracketed dots that ends in a top-level domain (``top_level``), but not before
+    an article in prose.  Null and empty texts give empty arrays; rows
     are independent, so repeated ones agree.  Each text is read whole by one task.
     """
 

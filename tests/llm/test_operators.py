@@ -584,6 +584,21 @@ def test_the_hint_loses_nothing(parts, between):
         pii._HINT = hint
 
 
+@pytest.mark.parametrize("host", [f"bakker dot {e}" for e in "nl it pl ru cn br se ai dev photography xn--p1ai museum".split()] + [
+    "mail dot bakker [dot] co dot za", "the dot com", "the dot shop dot nl", "a-b9  DOT  NL"])
+def test_any_top_level_domain(host):
+    text = f"write to john at {host}, or call"
+    _, added = pii.find(text)
+    assert [text[a:b] for a, b in added["email"]] == [f"john at {host}"]
+
+
+@pytest.mark.parametrize("text", [
+    "look at the dot in the middle", "evaluated at each dot product", "stared at a dot on the paper", "at every dot it stops", "aim at this dot so",
+])
+def test_dots_in_prose(text):
+    assert not any(pii.find(text)[1].values())
+
+
 @pytest.mark.parametrize("text", [
     "we met at noon and at the dot of one two three", "look at example.com", "Это просто русский текст о погоде", "one two three four five six",
     "ratio 1.2.3 at 50%", "x at y dot", "naïve café — déjà vu…",
