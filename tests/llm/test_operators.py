@@ -391,6 +391,28 @@ def test_large_budgets_are_fitted():
         assert (picks >= 0).all() and (picks <= counts).all() and int((picks * lengths).sum()) == budget
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 60_000), st.integers(1, 3)), min_size=1, max_size=5, unique_by=lambda p: p[0]), st.integers(0, 400_000))
+def test_budgets_are_missed_only_by_what_nothing_reaches(items, budget):
+    sums = {0}
+    for length, count in items:
+        sums = {s + length * k for s in sums for k in range(count + 1)}
+    budget = min(budget, max(sums))
+    picks = mixing.fit_budget(np.array([n for n, _ in items]), np.array([c for _, c in items]), budget, 7)
+    assert all(0 <= p <= c for p, (_, c) in zip(picks, items, strict=True))
+    assert abs(budget - sum(int(p) * n for p, (n, _) in zip(picks, items, strict=True))) == min(abs(s - budget) for s in sums)
+
+
+def test_few_long_documents():
+    assert mixing.fit_budget(np.array([30_000, 49_999]), np.array([1, 1]), 50_000, 7).tolist() == [0, 1]
+    assert mixing.fit_budget(np.array([1000]), np.array([1]), 900, 7).tolist() == [1]
+    assert mixing.fit_budget(np.array([1000]), np.array([1]), 400, 7).tolist() == [0]
+    rng = np.random.default_rng(6)
+    lengths = np.unique(rng.integers(100_000, 1_000_000, 40))
+    budget = int(lengths.sum()) // 3
+    assert int((mixing.fit_budget(lengths, np.ones(len(lengths), dtype=int), budget, 7) * lengths).sum()) == budget
+
+
 def test_mix_of_nothing_and_clashes(empty, clashing):
     assert mixing.mix(sized(empty), "words", "source", (1,), ["doc_id"]).count() == 0
     out = mixing.mix(sized(clashing), "words", "source", (5, 2, 1), ["doc_id", "tie"])
