@@ -118,8 +118,9 @@ def fit(rows: DataFrame, ridge: float = RIDGE, features: int = FEATURES) -> Mode
 
     Each partition sums its normal equations; the sums meet row by row of the matrix, so
     neither a task nor the driver ever holds more than ``features`` squared numbers.  The
-    isotonic curve comes from rows the ridge has not seen, counted in ``BINS`` bins.
-    Without rows of both labels the score is constant: the share of label 1, or 0.5.
+    isotonic curve comes from rows the ridge has not seen, counted in ``BINS`` bins; this
+    holds for every number of rows.  If the rows for the ridge or those for the curve lack
+    a label, the score is constant: the share of label 1 in all rows, or 0.5 without rows.
     """
     rng = np.random.default_rng(SEED)
     moments = rows.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(
@@ -170,9 +171,11 @@ def fit(rows: DataFrame, ridge: float = RIDGE, features: int = FEATURES) -> Mode
     ).toPandas().sort_values("bin")
     if not len(counted):
         return model
-    # Too few rows of their own (tiny inputs): calibrate on all.
-    own = counted[counted["own"]]
-    counted = own if own["n"].sum() >= 50 and 0 < (own["y"] * own["n"]).sum() < own["n"].sum() else counted.sort_values(["bin", "own"])
+    both = counted.assign(good=counted["y"] * counted["n"]).groupby("own")[["good", "n"]].sum()
+    if len(both) < 2 or not both["good"].between(0, both["n"], inclusive="neither").all():
+        share = both["good"].sum() / both["n"].sum()
+        return Model(**{**vars(model), "weights": flat, "values": np.array([share])})
+    counted = counted[counted["own"]]
     values = isotonic(counted["y"].to_numpy(), counted["n"].to_numpy())
     knots = np.maximum.accumulate(counted["raw"].to_numpy())
     return Model(**{**vars(model), "knots": knots, "values": values})

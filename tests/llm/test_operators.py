@@ -692,6 +692,19 @@ def test_isotonic(points):
     assert np.allclose(fit, brute)
 
 
+def test_the_curve_follows_one_rule(spark):
+    """Few rows: the curve comes from rows the ridge has not seen; without both labels on a side the score is constant."""
+    docs, labels = graded(spark, 60)
+    rows = quality.with_statistics(docs, "text", "doc_id").join(labels, "doc_id").select(
+        "x", F.col("quality").alias("y"), (F.col("doc_id") % 3 == 2).alias("calibrate")).cache()
+    model = quality.fit(rows)
+    own = sorted((float(np.clip(model.raw(np.array([r["x"]]))[0], -0.5, 1.5)), r["y"]) for r in rows.where("calibrate").collect())
+    assert model.knots[0] == pytest.approx(own[0][0]) and model.knots[-1] == pytest.approx(own[-1][0])
+    share = rows.where("calibrate OR y = 1").agg(F.avg("y")).first()[0]
+    one_sided = quality.fit(rows.where("calibrate OR y = 1"))
+    assert one_sided.score(np.random.default_rng(1).normal(size=(9, quality.STATISTICS))) == pytest.approx(np.full(9, 0.999 * share))
+
+
 def test_quality_of_odd_rows(odd, empty, clashing, spark):
     _, labels = graded(spark, 60)
     none = labels.where("quality > 5")
