@@ -10,7 +10,7 @@ from check import connect, rows as sorted_rows
 from millrace.llm import mixing, quality, simhash
 from millrace.llm.queries import QUERIES, SQL
 from millrace.sources.tables import parquet_table
-from test_operators import brute_components, brute_simhash
+from test_llm_operators import brute_components, brute_simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
