@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import exact, line_windows, mixing, neighbours, packing, pii, quality, sharding, simhash, token_files
+from millrace.llm import (
+    alignment, byte_bpe, exact, line_windows, mixing, neighbours, packing, periodic, pii, quality, sharding, simhash, token_files,
+)
 from millrace.llm.common import prepare
 from millrace.session import scratch_path, settle
 from millrace.sources.tables import parquet_table
@@ -141,10 +143,59 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(docs, parquet_table(spark, folder, "labels").select("doc_id", "quality"))
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text by the multilingual ranks, and the bytes that the ids decode to."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = byte_bpe.decode_ids(byte_bpe.encode_texts(_documents(spark, folder), ranks), ranks)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the ids of a byte-level and of a piece tokenizer link up in every document."""
+    documents, _, _ = alignment.token_alignment(
+        _documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return documents
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``docs`` with a run of words planted in every tenth text, by the hash of its id (contract of ``op13_runs``)."""
+    found = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    # In a step of its own, so that the words are found once.
+    numbers = docs.select("doc_id", "text", h.alias("h"), words("text").alias("n")).select(
+        "doc_id", "text", "h", "n", F.floor(F.col("h") / 10).alias("g")).withColumn("a", F.expr("g % n"))
+    period = F.expr("cast(1 + floor((n - a) / (3 + g % 8)) as int)")
+    first, again = F.slice(found, 1, F.col("a").cast("int")), F.slice(found, (F.col("a") + 1).cast("int"), period)
+    times = F.ceil((F.col("n") - F.col("a")) / period).cast("int")
+    left = (F.col("n") - F.col("a")).cast("int")
+    changed = F.array_join(F.concat(first, F.slice(F.flatten(F.array_repeat(again, times)), 1, left)), " ")
+    return numbers.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, and the text without their repeats."""
+    found = periodic.periodic_runs(planted(_documents(spark, folder)))
+    fields = ("start", "length", "period")
+
+    def better(best: Column, run: Column) -> Column:
+        # Runs come in order of start and period, so a tie keeps the earlier one.
+        return F.when(best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best)
+
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[f].cast("string") for f in fields]), F.lit("\n")))
+    best = found.withColumn("best", F.aggregate("runs", none, better))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col("best")[f].alias(f) for f in fields],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ring_shards, op2_line_windows, op3_token_files, op4_adaptive_scan, op5_simhash, op6_mix, op7_exact, op8_pack,
-        op9_personal_data, op10_quality,
+        op9_personal_data, op10_quality, op11_byte_bpe, op12_alignment, op13_runs,
     )
 } | {"pipeline": corpus_pipeline.run}
 

@@ -19,7 +19,7 @@ _PLAIN = re.compile(rf"[{_LETTERS}.,;:!?]+(?:\n[{_LETTERS}.,;:!?]+)*")
 _PARTS = re.compile(rf"[{_LETTERS}]+|[.,;:!?]+|\n")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """How byte-level vocabularies write bytes: printable ones as themselves, the others from 256 on, in order."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     hidden = (b for b in range(256) if b not in shown)
@@ -49,7 +49,7 @@ class WordTokenizer:
         self._tokenizer.encode_special_tokens = True
         #: The merges alone, for parts that are one word to the pattern.
         self._model = self._tokenizer.model
-        self._letters = _byte_letters()
+        self._letters = byte_letters()
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._drops_space = not self._tokenizer.encode(" ", add_special_tokens=False).ids
         self._end, self._limit = end, limit
@@ -148,17 +148,20 @@ class WordTokenizer:
             sizes, ids = self._gather(parts)
             self._add(joined, np.add.reduceat(sizes, np.cumsum([0, *counts[:-1]])), ids)
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text (null: empty), the end id last."""
+    def encode(self, texts: Iterable[str | None], led: bool = False) -> Iterator[np.ndarray]:
+        """The ids of each text (null: empty), the end id last; ``led``: of a space and the text."""
         if len(self._code) > self._limit or self._used > 16 * self._limit:
             self._shrink()
         keys: list[object] = []
         bounds = [0]
         for text in texts:
             text = text or ""
+            first = not led
+            if led and (not text or text[0].isspace()):
+                text, first = " " + text, True
             even = not _TWO_SPACES.search(text) and text[:1] != " " and text[-1:] != " "
             pieces: list[object] = text.split(" ") if even else _CUT.split(text)
-            if not self._drops_space:
+            if first and not self._drops_space:
                 pieces[0] = (pieces[0],)
             keys += pieces
             keys.append(None)

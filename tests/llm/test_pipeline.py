@@ -33,7 +33,7 @@ def test_one_row_per_document(spark, name):
 def test_the_pipeline_is_registered(spark):
     from __spark_entry__ import queries
 
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {k.split("_")[0] for k in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {k.split("_")[0] for k in QUERIES}
     assert set(QUERIES) <= set(queries())
 
 
