@@ -20,15 +20,17 @@ from millrace.bindings.registry import query, table, tables
 from millrace.operators.projections import project
 from millrace.operators.state import Child, cascade_delete, delete_batch, mark_claimed
 from millrace.plans.project_plan import BATCH, plan_schema, PlanMapping
-from millrace.session import scratch_path
+from millrace.session import scratch_path, settle
 from millrace.sinks import tables as sinks
 from millrace.sources.files import (
+    MEMBER,
     csv_folder_tables,
     csv_scan,
     json_messages_scan,
-    json_users_scan,
+    members,
     xml_scan,
 )
+from millrace.sources.json_pages import json_items, split_items
 from millrace.sources.tables import control_table_scan, table_projected_scan
 
 
@@ -127,29 +129,88 @@ def scan_raw_messages(spark: SparkSession, folder: str) -> DataFrame:
     return json_messages_scan(spark, write_raw_messages(spark, folder), schema)
 
 
+def _write_pages(rows: DataFrame, field: str, number: str, per_page: int, name: str) -> str:
+    """Pages of ``per_page`` records (column ``record``), by their ``number``; some pages are cut off."""
+    pages = rows.groupBy(F.expr(f"{number} div {per_page}").alias("page")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(number, "record"))), lambda r: r["record"]), ",").alias("list"))
+    text = F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(f',"{field}":['), "list", F.lit("]}"))
+    whole = F.when(F.col("page") % 41 == 2, F.substr(text, F.lit(1), F.length(text) - 3)).otherwise(text)
+    path = scratch_path(rows.sparkSession, name)
+    pages.select(whole.alias("value")).write.text(path)
+    return path
+
+
+#: Damaged messages: an object where a number belongs, a text in place of the message, a text deep inside.
+MESSAGE_DAMAGE = "CASE WHEN event_id % 97 = 5 THEN 'reply_count' WHEN event_id % 101 = 7 THEN 'no object' " \
+    "WHEN event_id % 103 = 9 AND event_id % 4 > 0 THEN 'reactions' END"
+MEMBER_DAMAGE = "CASE WHEN c_custkey % 61 = 3 THEN 'no object' WHEN c_custkey % 67 = 5 THEN 'profile' END"
+
+
+def write_damaged_messages(spark: SparkSession, folder: str) -> str:
+    """Pages of four messages: some messages are damaged (``MESSAGE_DAMAGE``) and some pages cut off."""
+    text = F.to_json(F.struct(*T.StructType.fromDDL(RAW_SCHEMA).fieldNames()))
+    number = F.regexp_extract("ts", r"\.0*([0-9]+)$", 1).cast("long")
+    rows = raw_messages(spark, folder).select(number.alias("event_id"), text.alias("record")).withColumn("why", F.expr(MESSAGE_DAMAGE))
+    record = (
+        F.when(F.col("why") == "reply_count", F.regexp_replace("record", r'"reply_count":\d+', '"reply_count":{"n":1}'))
+        .when(F.col("why") == "no object", F.lit('"lost"'))
+        .when(F.col("why") == "reactions", F.regexp_replace("record", r'"count":\d+', '"count":"few"')).otherwise(F.col("record"))
+    )
+    return _write_pages(rows.select("event_id", record.alias("record")), "messages", "event_id", 4, "messages-pages")
+
+
 @query("json_messages_scan", f"""
+WITH r AS (
+  SELECT *, {MESSAGE_DAMAGE} AS why, event_id // 4 AS page,
+    row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id) - 1 AS place
+  FROM ({RAW_SQL.replace('AS user,', 'AS "user",')}) x)
 SELECT ts, thread_ts, subtype, text, username, reply_count,
-  CASE WHEN n_reactions > 0 THEN event_type END AS first_reaction
-FROM ({RAW_SQL.replace('AS user,', 'AS "user",')}) r
+  CASE WHEN n_reactions > 0 THEN event_type END AS first_reaction,
+  CAST(NULL AS BIGINT) AS position, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS page
+FROM r WHERE page % 41 <> 2 AND why IS NULL
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, place, why, NULL FROM r WHERE page % 41 <> 2 AND why IS NOT NULL
+UNION ALL SELECT DISTINCT NULL, NULL, NULL, NULL, NULL, CAST(NULL AS BIGINT), NULL, CAST(NULL AS BIGINT), 'no JSON', page FROM r WHERE page % 41 = 2
 """)
 def _json_messages_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_raw_messages(spark, folder).select(
-        "ts", "thread_ts", "subtype", "text", "username", "reply_count",
-        F.col("reactions")[0]["name"].alias("first_reaction"),
+    """Readable messages, then damaged ones with their place and pages cut off with their number."""
+    items = settle(json_items(spark, write_damaged_messages(spark, folder), "messages", T.StructType.fromDDL(RAW_SCHEMA)), "items")
+    good, rejects = split_items(items)
+    read = good.select(
+        "ts", "thread_ts", "subtype", "text", "username", "reply_count", F.col("reactions")[0]["name"].alias("first_reaction"))
+    return read.unionByName(_rejected(rejects), allowMissingColumns=True)
+
+
+def _rejected(rejects: DataFrame) -> DataFrame:
+    number = F.regexp_extract("record", r'^\{"page":(\d+),', 1)
+    return rejects.select(
+        F.col("position").cast("long").alias("position"), "reason",
+        F.when(F.col("position").isNull(), number.cast("long")).alias("page"),
     )
 
 
-@query("json_users_scan", """
+@query("json_users_scan", f"""
+WITH r AS (
+  SELECT *, {MEMBER_DAMAGE} AS why, c_custkey // 5 AS page,
+    row_number() OVER (PARTITION BY c_custkey // 5 ORDER BY c_custkey) - 1 AS place FROM customer)
 SELECT concat('U', lpad(CAST(c_custkey AS VARCHAR), 8, '0')) AS id, c_name AS name,
-  concat('c', c_custkey, '@x.org') AS email
-FROM customer WHERE c_acctbal > 0
+  concat('c', c_custkey, '@x.org') AS email,
+  CAST(NULL AS BIGINT) AS position, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS page
+FROM r WHERE c_acctbal > 0 AND page % 41 <> 2 AND why IS NULL
+UNION ALL SELECT NULL, NULL, NULL, place, why, NULL FROM r WHERE page % 41 <> 2 AND why IS NOT NULL
+UNION ALL SELECT DISTINCT NULL, NULL, NULL, CAST(NULL AS BIGINT), 'no JSON', page FROM r WHERE page % 41 = 2
 """)
 def _json_users_scan(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "users-json")
-    directory(spark, folder).select(
-        F.array(F.struct("id", "name", F.struct("email").alias("profile"))).alias("members")
-    ).write.json(path)
-    return json_users_scan(spark, path)
+    """Members with an address, then damaged members and pages."""
+    number = F.substring("id", 2, 8).cast("long")
+    record = F.to_json(F.struct("id", "name", F.struct("email").alias("profile")))
+    rows = directory(spark, folder).select(number.alias("c_custkey"), record.alias("record")).withColumn("why", F.expr(MEMBER_DAMAGE))
+    damaged = (
+        F.when(F.col("why") == "no object", F.lit("[1]"))
+        .when(F.col("why") == "profile", F.regexp_replace("record", r'"profile":\{[^}]*\}', '"profile":"gone"')).otherwise(F.col("record"))
+    )
+    path = _write_pages(rows.select("c_custkey", damaged.alias("record")), "members", "c_custkey", 5, "users-pages")
+    good, rejects = split_items(settle(json_items(spark, path, "members", MEMBER), "items"))
+    return members(good).unionByName(_rejected(rejects), allowMissingColumns=True)
 
 
 @query("truncate_load", "SELECT * FROM customer")

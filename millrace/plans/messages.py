@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,8 @@ from millrace.operators.joins import (
 from millrace.operators.lists import mention_lists, zip_recipients
 from millrace.operators.windows import latest_row_per_key, surrogate_keys
 from millrace.session import settle
+from millrace.sources.files import MEMBER, members
+from millrace.sources.json_pages import json_items, split_items
 
 #: Sections of a raw message that are kept as JSON text.
 SECTIONS = {
@@ -85,6 +87,33 @@ def stage_messages(
     )
 
 
+@dataclass(frozen=True)
+class Export:
+    """What a chat export holds: staged messages, directory members, and what could not be read."""
+
+    staged: DataFrame
+    members: DataFrame
+    rejects: DataFrame
+
+
+def stage_export(
+    spark: SparkSession, messages: str, users: str, message: T.StructType, version: Column,
+    multi_line: bool = False, legacy_text: bool = False,
+) -> Export:
+    """Stage the messages of an export with its directory.
+
+    Each side is read once and written typed.  ``rejects`` has ``kind`` (message or
+    member), ``file_name``, ``position``, ``reason`` and ``record`` of every record, and
+    of every page without ``position``, that is not in the other two.
+    """
+    raw, bad_messages = split_items(settle(json_items(spark, messages, "messages", message, multi_line), "export-messages"))
+    people, bad_members = split_items(settle(json_items(spark, users, "members", MEMBER, multi_line), "export-members"))
+    directory = members(people)
+    rejects = bad_messages.select(F.lit("message").alias("kind"), "*").unionByName(
+        bad_members.select(F.lit("member").alias("kind"), "*"))
+    return Export(stage_messages(raw, directory, version, legacy_text), directory, rejects)
+
+
 def latest_versions(staged: DataFrame, as_of: Column | None = None, days: int | None = None) -> DataFrame:
     """The newest version of each message, among those of the last ``days`` days."""
     if days is not None:

@@ -193,15 +193,42 @@ def test_each_table_of_a_folder_has_its_own_columns(spark, csv_folder, rows):
     assert [r["id"] for r in got["people"].orderBy("id").collect()] == [1, 2, 3]
 
 
-def test_broken_json_pages_are_returned(spark, rows):
+def _page(spark, text):
     path = scratch_path(spark, "json").removeprefix("file:")
     os.makedirs(path)
     with open(f"{path}/page.json", "w") as f:
-        f.write('{"messages": [{"n": 1}, {"n": 2}]}\n{"messages": [{"n": \n{"messages": [{"n": "x"}]}\n{"other": 1}\n')
-    message = T.StructType.fromDDL("n int")
-    assert rows(json_messages_scan(spark, path, message)) == [(1,), (2,)]
-    rejects = rows(json_rejects(spark, path, message))
-    assert [r[:2] for r in rejects] == [("page.json", '{"messages": [{"n": "x"}]}'), ("page.json", '{"messages": [{"n": ')]
+        f.write(text)
+    return path
+
+
+def test_a_broken_message_costs_only_itself(spark, rows):
+    path = _page(spark, "\n".join([
+        '{"messages": [{"n": 1, "r": [{"c": 1}]}, {"n": "x"}, {"n": 2, "r": null}, "lost", {"n": {"k": 1}, "r": 5}, null]}',
+        '{"messages": [{"n": ', '{"messages": [{"n": 3, "r": [{"c": 1}, {"c": "few"}]}, {"n": "4", "m": {"a": "b"}}, {}]}',
+        '{"messages": 7}', '{"messages": null}', '[{"messages": [{"n": 5}]}, [1]]', '"text"', "", '{"other": 1}',
+    ]) + "\n")
+    message = T.StructType.fromDDL("n int, r array<struct<c int>>, m map<string, string>")
+    good = json_messages_scan(spark, path, message)
+    assert sorted(good.select("n").collect(), key=repr) == sorted([(1,), (2,), (4,), (5,), (None,)], key=repr)
+    assert [r["m"] for r in good.where("n = 4").collect()] == [{"a": "b"}]
+    rejects = json_rejects(spark, path, message)
+    assert rejects.columns == ["file_name", "position", "reason", "record"]
+    assert rows(rejects, "position", "reason", "record") == sorted([
+        (1, "n", '{"n":"x"}'), (3, "no object", '"lost"'), (4, "n, r", '{"n":{"k":1},"r":5}'), (5, "no object", "null"),
+        (None, "no JSON", '{"messages": [{"n": '), (0, "r", '{"n":3,"r":[{"c":1},{"c":"few"}]}'),
+        (None, "no list", '{"messages": 7}'), (None, "no object", '[{"messages": [{"n": 5}]}, [1]]'), (None, "no object", '"text"'),
+    ], key=repr)
+
+
+def test_misfits_at_any_depth(spark):
+    kind = T.StructType.fromDDL("a struct<b: array<map<string, int>>>, t timestamp, s string")
+    cases = {
+        '{"a": {"b": [{"x": 1}, {}]}}': None, '{"a": {"b": [{"x": "y"}]}}': "a", '{"a": {"b": [1]}}': "a", '{"a": {"b": {}}}': "a",
+        '{"a": []}': "a", '{"a": {"b": null}}': None, '{"t": "2024-01-01 00:00:00"}': None, '{"t": "soon", "s": 1}': "t", '{"s": {"x": 1}}': None,
+    }
+    path = _page(spark, "\n".join(f'{{"messages": [{c}]}}' for c in cases))
+    got = {r["record"]: r["reason"] for r in json_rejects(spark, path, kind).collect()}
+    assert sorted(got.values()) == sorted(v for v in cases.values() if v)
 
 
 def test_json_page_over_several_lines(spark, rows):

@@ -147,6 +147,21 @@ def test_staging_from_an_export(spark):
     assert second["EDITED"] == '{"user":"U1","ts":"5"}'.replace("U1", U1)
 
 
+def test_an_export_returns_what_it_cannot_read(spark, rows):
+    path = scratch_path(spark, "export").removeprefix("file:")
+    os.makedirs(path)
+    with open(f"{path}/page.json", "w") as f:
+        f.write('{"messages": [{"ts": "1", "text": "a", "user": "U1"}, {"ts": "2", "reply_count": []}]}\n{"messages": [\n')
+    with open(f"{path}/users.json", "w") as f:
+        f.write('{"members": [{"id": "U1", "name": "ann", "profile": {"email": "1@x"}}, {"id": "U2", "profile": "x"}]}\n{"mem\n')
+    schema = T.StructType.fromDDL("ts string, text string, user string, reply_count bigint")
+    export = messages.stage_export(spark, f"{path}/page.json", f"{path}/users.json", schema, now())
+    assert rows(export.staged, "SRC_TS", "FRM_USR_EMAIL") == [("1", "1@x")]
+    assert rows(export.members) == [("U1", "ann", "1@x")]
+    assert rows(export.rejects, "kind", "position", "reason") == [
+        ("member", 1, "profile"), ("member", None, "no JSON"), ("message", 1, "reply_count"), ("message", None, "no JSON")]
+
+
 def test_outbound(spark, rows):
     queue = spark.createDataFrame([
         (1, "f@x", "hi", ":t:", "N"), (2, "f@x", None, ":t:", "N"), (3, "f@x", "done", ":t:", "Y"),
