@@ -20,7 +20,7 @@ from millrace.session import settle
 BLOCK = 1 << 16
 DENSE = BLOCK // 8
 #: Links that a task gathers before it writes their bitmaps.
-GATHERED = 1 << 21
+GATHERED = 1 << 19
 #: Rows of bitmaps that go to a Python worker at a time; their bytes are bounded besides.
 SLIM_ROWS = 1 << 14
 

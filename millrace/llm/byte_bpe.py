@@ -6,7 +6,7 @@ import base64
 import heapq
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -243,10 +243,12 @@ class ByteBpe:
         """The ids of the slices one after the other, and their number per slice."""
         if len(self._code) > self._limit or self._used > 8 * self._limit:
             self._reset()
-        new = set(pieces).difference(self._code)
-        if new:
-            self._learn(new)
-        codes = np.fromiter(map(self._code.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        codes = np.fromiter(map(self._code.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            self._learn(dict.fromkeys(new))
+            codes[missing] = np.fromiter(map(self._code.__getitem__, new), dtype=np.int64, count=len(new))
         sizes = self._size[codes]
         return gather(self._flat, self._at[codes], sizes), sizes
 

@@ -6,13 +6,16 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 
 #: A single space between two characters that no reading of "white space" includes.
 _CUT = re.compile(r" (?=\S)(?<=\S )")
-_TWO_SPACES = re.compile(r"\s\s")
+#: White space beside a space, or such as is looked for one by one.
+_BESIDE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
+_RARE_ASCII = "\x0b\x0c\x1c\x1d\x1e\x1f"
+_RARE = re.compile(r"[^\S \n\t\r]")
 #: Pieces of plain letters, plain punctuation and single line ends: both patterns split them just there.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[{_LETTERS}.,;:!?]+(?:\n[{_LETTERS}.,;:!?]+)*")
@@ -26,6 +29,13 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _even(text: str) -> bool:
+    """Does every space stand between two other characters that are no white space?  (May say no by mistake.)"""
+    if text[:1] == " " or text[-1:] == " " or any(pair in text for pair in _BESIDE):
+        return False
+    return not any(c in text for c in _RARE_ASCII) if text.isascii() else not _RARE.search(text)
+
+
 class WordTokenizer:
     """Ids of whole texts, equal to encoding each text at once.
 
@@ -39,7 +49,7 @@ class WordTokenizer:
     words: memory is bounded.
     """
 
-    def __init__(self, path: str, end: int, limit: int = 600_000) -> None:
+    def __init__(self, path: str, end: int, limit: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
@@ -115,7 +125,9 @@ class WordTokenizer:
 
     def _gather(self, keys: list[object]) -> tuple[np.ndarray, np.ndarray]:
         """The sizes of known pieces, and their ids one after the other."""
-        codes = np.fromiter(map(self._code.__getitem__, keys), dtype=np.int64, count=len(keys))
+        return self._coded(np.fromiter(map(self._code.__getitem__, keys), dtype=np.int64, count=len(keys)))
+
+    def _coded(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = self._size[codes]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -127,6 +139,9 @@ class WordTokenizer:
         for key in keys:
             glued = isinstance(key, tuple)
             text = key[0] if glued else key
+            if text.isascii() and text.isalpha():
+                single.add(key)
+                continue
             if not _PLAIN.fullmatch(text):
                 whole.append(key)
                 continue
@@ -159,17 +174,19 @@ class WordTokenizer:
             first = not led
             if led and (not text or text[0].isspace()):
                 text, first = " " + text, True
-            even = not _TWO_SPACES.search(text) and text[:1] != " " and text[-1:] != " "
-            pieces: list[object] = text.split(" ") if even else _CUT.split(text)
+            pieces: list[object] = text.split(" ") if _even(text) else _CUT.split(text)
             if first and not self._drops_space:
                 pieces[0] = (pieces[0],)
             keys += pieces
             keys.append(None)
             bounds.append(len(keys))
-        unknown = set(keys).difference(self._code)
-        if unknown:
-            self._learn(unknown)
-        sizes, ids = self._gather(keys)
+        codes = np.fromiter(map(self._code.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            new = [keys[i] for i in missing.tolist()]
+            self._learn(set(new))
+            codes[missing] = np.fromiter(map(self._code.__getitem__, new), dtype=np.int64, count=len(new))
+        sizes, ids = self._coded(codes)
         cuts = np.concatenate([[0], np.cumsum(sizes)])[bounds]
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
             yield ids[low:high]
