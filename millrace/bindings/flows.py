@@ -14,13 +14,14 @@ from millrace.bindings.inputs import (
     DOCS_SQL,
     EMPLOYEES_SQL,
     LOADED_SQL,
+    PLAN_NAME_DUCK,
     STAGED_SQL,
     employees,
     loaded_messages,
     staged_messages,
 )
 from millrace.bindings.registry import AS_OF, query, table, tables
-from millrace.bindings.scans_and_sinks import write_plans
+from millrace.bindings.scans_and_sinks import PLAN_DAMAGE, write_plans, write_xsd
 from millrace.functions.dates import format_seconds
 from millrace.operators.state import retention_delete
 from millrace.plans import extract, ledger, messages, outbound, reload
@@ -36,14 +37,19 @@ def ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
+#: How a NULL looks in a payload, so that its place can be checked.
+NOTHING = "~"
+
+
 def _long(frames: Mapping[str, tuple[DataFrame, str, str, list]]) -> DataFrame:
     """Tables of different shape as ``entity, row_key, parent_key, payload``."""
     parts = [
         df.select(
             F.lit(name).alias("entity"), F.col(key).cast("bigint").alias("row_key"),
             F.expr(parent).cast("bigint").alias("parent_key"),
-            F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c for c in payload])
-            .alias("payload"),
+            F.concat_ws("|", *[
+                F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NOTHING)) for c in payload
+            ]).alias("payload"),
         )
         for name, (df, key, parent, payload) in frames.items()
     ]
@@ -80,12 +86,12 @@ UNION ALL SELECT 'weekday_times', h * 4294967296 + j, h * 4294967296 + 1, concat
   concat(lpad(CAST(6 + 2 * j AS VARCHAR), 2, '0'), ':00:00'), concat(lpad(CAST(7 + 2 * j AS VARCHAR), 2, '0'), ':30:00'))
   FROM per_time
 UNION ALL SELECT 'exception', h * 4294967296 + 1, h * 4294967296 + 1,
-  concat_ws('|', '1', '1', '0', CASE WHEN k % 2 = 1 THEN d END) FROM docs
+  concat_ws('|', '1', '1', '0', CASE WHEN k % 2 = 1 THEN d ELSE '~' END) FROM docs
 UNION ALL SELECT 'exception_times', h * 4294967296 + 1, h * 4294967296 + 1, '1|08:00:00|12:00:00'
   FROM docs WHERE k % 5 = 0
 """)
 def _xml_entity_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    staging, _ = plan_stage_to_integrated(spark, write_plans(spark, folder), batch=F.col("Name"))
+    staging = plan_stage_to_integrated(spark, write_plans(spark, folder), batch=F.col("Name"), multi_line=False).staging
     header = "Ms_Project_Header_Id"
     key = "Unique_Key"
     times = ["From_Working_Time", "To_Working_Time"]
@@ -108,23 +114,27 @@ def _xml_entity_flatten(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("plan_stage_to_integrated", f"""
-WITH {DOCS_SQL}
+WITH {DOCS_SQL.replace('WHERE regexp_matches', 'WHERE (' + PLAN_DAMAGE.replace('o_orderkey', 'k') + ') IS NULL AND regexp_matches')}
 {_PLAN_TASK_CHILDREN_SQL.format(p='plan_')}
-UNION ALL SELECT 'plan_header', h, 0, concat_ws('|', substr(b, 4, 8), b, dt, CASE WHEN k % 2 = 1 THEN dt END) FROM docs
+UNION ALL SELECT 'plan_header', h, 0, concat_ws('|', substr(b, 4, 8), b, dt, CASE WHEN k % 2 = 1 THEN dt ELSE '~' END) FROM docs
 UNION ALL SELECT 'plan_task', h * 4294967296 + i, h, concat_ws('|', i, concat('task ', i), dt,
   i * 28800 + (k % 60) * 60, i * 3600, 1) FROM per_task
-UNION ALL SELECT 'plan_calendar_weekday', h * 4294967296 + 1, h * 4294967296 + 1, '1|0|0' FROM docs
+UNION ALL SELECT 'plan_calendar_weekday', h * 4294967296 + 1, h * 4294967296 + 1, '1|0|~|~|~|~|0' FROM docs
 UNION ALL SELECT 'plan_calendar_weekday', h * 4294967296 + 2, h * 4294967296 + 1, concat_ws('|', '2', '1',
-  CASE WHEN n_times > 1 THEN concat(lpad(CAST(4 + 2 * n_times AS VARCHAR), 2, '0'), ':00:00') END,
-  CASE WHEN n_times > 1 THEN concat(lpad(CAST(5 + 2 * n_times AS VARCHAR), 2, '0'), ':30:00') END,
-  CASE WHEN n_times > 0 THEN concat(lpad(CAST(6 + 2 * n_times AS VARCHAR), 2, '0'), ':00:00') END,
-  CASE WHEN n_times > 0 THEN concat(lpad(CAST(7 + 2 * n_times AS VARCHAR), 2, '0'), ':30:00') END, n_times) FROM docs
-UNION ALL SELECT 'plan_calendar_exception', h * 4294967296 + 1, h * 4294967296 + 1, concat_ws('|', '1', '1', '0',
-  CASE WHEN k % 5 = 0 THEN '08:00:00' END, CASE WHEN k % 5 = 0 THEN '12:00:00' END,
-  CASE WHEN k % 2 = 1 THEN d END, CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END) FROM docs
+  CASE WHEN n_times > 1 THEN concat(lpad(CAST(4 + 2 * n_times AS VARCHAR), 2, '0'), ':00:00') ELSE '~' END,
+  CASE WHEN n_times > 1 THEN concat(lpad(CAST(5 + 2 * n_times AS VARCHAR), 2, '0'), ':30:00') ELSE '~' END,
+  CASE WHEN n_times > 0 THEN concat(lpad(CAST(6 + 2 * n_times AS VARCHAR), 2, '0'), ':00:00') ELSE '~' END,
+  CASE WHEN n_times > 0 THEN concat(lpad(CAST(7 + 2 * n_times AS VARCHAR), 2, '0'), ':30:00') ELSE '~' END, n_times) FROM docs
+UNION ALL SELECT 'plan_calendar_exception', h * 4294967296 + 1, h * 4294967296 + 1, concat_ws('|', '1', '1', '0', '~', '~',
+  CASE WHEN k % 5 = 0 THEN '08:00:00' ELSE '~' END, CASE WHEN k % 5 = 0 THEN '12:00:00' ELSE '~' END,
+  CASE WHEN k % 2 = 1 THEN d ELSE '~' END, CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END) FROM docs
+UNION ALL SELECT 'reject', 0, 0, concat_ws('|', coalesce(why, 'file name'), b) FROM (
+  SELECT {PLAN_DAMAGE} AS why, {PLAN_NAME_DUCK} AS b FROM orders) x
+  WHERE why IS NOT NULL OR NOT regexp_matches(b, '^(MS|SG|SS)_')
 """)
 def _plan_stage_to_integrated(spark: SparkSession, folder: str) -> DataFrame:
-    _, plan = plan_stage_to_integrated(spark, write_plans(spark, folder), batch=F.col("Name"))
+    flow = plan_stage_to_integrated(spark, write_plans(spark, folder, PLAN_DAMAGE), batch=F.col("Name"), xsd=write_xsd(spark), multi_line=False)
+    plan = flow.integrated
     header, key = "Project_Plan_Header_Id", "Staging_Unique_Key"
     pairs = ["From_Working_Time", "To_Working_Time", "From_Working_Time_2", "To_Working_Time_2"]
     shape = {
@@ -143,7 +153,10 @@ def _plan_stage_to_integrated(spark: SparkSession, folder: str) -> DataFrame:
         "plan_calendar_exception": ("Project_Plan_Calendar_Id", [
             "Exception_Type", "Day_Working", "Entered_By_Occurrences", *pairs, "Exception_From_Dt", "n_ranges"]),
     }
-    return _long({n: (plan[n], key, parent, payload) for n, (parent, payload) in shape.items()})
+    rejects = flow.rejects.select(F.lit(0).alias("k"), "reason", F.coalesce(
+        BATCH, F.regexp_extract("record", "<Name>([^<]+)</Name>", 1)).alias("batch"))
+    return _long({n: (plan[n], key, parent, payload) for n, (parent, payload) in shape.items()}
+                 | {"reject": (rejects, "k", "0", ["reason", "batch"])})
 
 
 # --- recognition messages ----------------------------------------------------------------------
@@ -200,7 +213,7 @@ keyed AS (SELECT *, row_number() OVER (ORDER BY SRC_TS) + (SELECT max(RCGNTN_MSG
 recipients AS ({_RECIPIENTS_SQL.format(source='keyed')}),
 reached AS (SELECT * FROM keyed WHERE msg_id IN (SELECT msg_id FROM recipients))
 SELECT 'messages' AS entity, msg_id AS row_key, CAST(tag AS BIGINT) AS parent_key,
-  concat_ws('|', SRC_TS, strftime(INTRNL_TS, '%Y-%m-%d %H:%M:%S'), t, FRM_USR_SRC_ID, e.EMPL_ID) AS payload
+  concat_ws('|', SRC_TS, strftime(INTRNL_TS, '%Y-%m-%d %H:%M:%S'), t, FRM_USR_SRC_ID, coalesce(e.EMPL_ID, '~')) AS payload
   FROM reached LEFT JOIN employees e ON e.CO_EMAIL = FRM_USR_EMAIL
 UNION ALL SELECT 'recipients', msg_id, 0, concat_ws('|', to_id, EMPL_ID) FROM recipients
 UNION ALL SELECT 'values', msg_id, 1, '' FROM reached WHERE v1
@@ -236,7 +249,7 @@ recipients AS ({_RECIPIENTS_SQL.format(source='folded')})
 SELECT 'messages' AS entity, l.RCGNTN_MSG_ID AS row_key,
   CAST(CASE WHEN f.msg_id IS NULL THEN l.RCGNTN_TAG_ID WHEN f.tag = 0 THEN -1 ELSE f.tag END AS BIGINT) AS parent_key,
   concat_ws('|', l.SRC_TS, strftime(coalesce(f.INTRNL_TS, l.INTRNL_TS), '%Y-%m-%d %H:%M:%S'),
-            CASE WHEN f.msg_id IS NULL THEN l.RCGNTN_MSG_TXT ELSE f.t END, l.FRM_USR_ID) AS payload
+            CASE WHEN f.msg_id IS NULL THEN l.RCGNTN_MSG_TXT ELSE f.t END, l.FRM_USR_ID, '~') AS payload
   FROM loaded l LEFT JOIN folded f ON f.msg_id = l.RCGNTN_MSG_ID
 UNION ALL SELECT 'recipients', RCGNTN_MSG_ID, 0, concat_ws('|', to_id, EMPL_ID) FROM old_to
   WHERE RCGNTN_MSG_ID NOT IN (SELECT msg_id FROM folded)

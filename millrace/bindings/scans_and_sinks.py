@@ -25,21 +25,44 @@ from millrace.sinks import tables as sinks
 from millrace.sources.files import (
     MEMBER,
     csv_folder_tables,
-    csv_scan,
+    csv_records,
     json_messages_scan,
     members,
-    xml_scan,
+    split_records,
+    xml_records,
 )
 from millrace.sources.json_pages import json_items, split_items
 from millrace.sources.tables import control_table_scan, table_projected_scan
 
 
-@query("csv_scan", "SELECT * FROM customer")
+#: Damaged customers of a CSV export: a balance that is no number, a date in place of the nation, a line that breaks off.
+CSV_DAMAGE = "CASE WHEN c_custkey % 59 = 2 THEN 'number of cells' WHEN c_custkey % 53 = 1 AND c_custkey % 47 = 1 THEN " \
+    "'c_nationkey, c_acctbal' WHEN c_custkey % 53 = 1 THEN 'c_acctbal' END"
+
+
+@query("csv_scan", f"""
+WITH c AS (SELECT *, {CSV_DAMAGE} AS why FROM customer)
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS why), CAST(NULL AS VARCHAR) AS record_key FROM c WHERE why IS NULL
+UNION ALL BY NAME SELECT why, CAST(c_custkey AS VARCHAR) AS record_key FROM c WHERE why IS NOT NULL
+""")
 def _csv_scan(spark: SparkSession, folder: str) -> DataFrame:
-    customer = table(spark, folder, "customer")
-    path = scratch_path(spark, "csv")
-    customer.write.option("header", True).csv(path)
-    return csv_scan(spark, path, customer.schema)
+    """A folder of CSV files: readable lines, then damaged ones with the reason."""
+    customer = table(spark, folder, "customer").withColumn("why", F.expr(CSV_DAMAGE))
+    names = [c for c in customer.columns if c != "why"]
+    first, second = scratch_path(spark, "csv"), scratch_path(spark, "csv")
+    damaged = {"c_acctbal": ("%c_acctbal%", "n/a"), "c_nationkey": ("%c_nationkey%", "2024-01-01")}
+    customer.where("why IS NULL OR why <> 'number of cells'").select(*[
+        F.when(F.col("why").like(damaged[c][0]), damaged[c][1]).otherwise(F.col(c).cast("string")).alias(c) if c in damaged else F.col(c)
+        for c in names
+    ]).write.option("header", True).csv(first)
+    # Lines that break off have no writer: a file of text, its header first.
+    lines = customer.where("why = 'number of cells'").select(F.col("c_custkey").cast("string").alias("l"), F.concat_ws(",", "c_custkey", "c_name").alias("value"))
+    header = spark.createDataFrame([("", ",".join(names))], lines.schema)
+    lines.unionByName(header).repartition(1).sortWithinPartitions("l").select("value").write.text(second)
+    records = settle(csv_records(spark, [first, second], table(spark, folder, "customer").schema), "records")
+    good, rejects = split_records(records)
+    bad = rejects.select(F.col("reason").alias("why"), F.split("record", ",")[0].alias("record_key"))
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @query("csv_folder_scan", """
@@ -91,30 +114,58 @@ def _control_table_scan(spark: SparkSession, folder: str) -> DataFrame:
     return control_table_scan(control, "Brand#7")
 
 
-def write_plans(spark: SparkSession, folder: str) -> str:
+#: Damaged documents: a wrong end tag, and a version that is no number.
+PLAN_DAMAGE = "CASE WHEN o_orderkey % 89 = 7 THEN 'no XML' WHEN o_orderkey % 97 = 11 THEN 'violates the schema' END"
+#: What a document must begin with.
+PLAN_XSD = """<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="Project"><xs:complexType><xs:sequence>
+<xs:element name="Name" type="xs:string"/><xs:element name="SaveVersion" type="xs:integer"/>
+<xs:any minOccurs="0" maxOccurs="unbounded" processContents="skip"/></xs:sequence></xs:complexType></xs:element></xs:schema>"""
+
+
+def write_plans(spark: SparkSession, folder: str, damage: str = "CAST(NULL AS STRING)") -> str:
+    """Plan documents, one a line; ``damage`` says by ``o_orderkey`` which are broken (``PLAN_DAMAGE``)."""
     path = scratch_path(spark, "plans-xml")
-    # A file is read by one task, so there should be at least one per core.
-    spread = plan_documents(spark, folder).repartition(spark.sparkContext.defaultParallelism, "Name")
-    spread.write.format("xml").options(
-        rootTag="Projects", rowTag="Project", indent="", compression="gzip"
-    ).save(path)
+    why = F.expr(damage.replace("o_orderkey", "_key"))
+    # The place of the order's number in the name, as far as it goes there.
+    number = F.conv(F.substring("Name", 6, 6), 16, 10).cast("long")
+    documents = plan_documents(spark, folder).withColumn("_key", number).withColumn("why", why)
+    text = F.to_xml(F.struct(*[
+        F.when(F.col("why") == "violates the schema", "one").otherwise(F.col(c)).alias(c) if c == "SaveVersion" else F.col(c)
+        for c in documents.columns if c not in ("_key", "why")
+    ]), {"rowTag": "Project", "indent": ""})
+    broken = F.when(F.col("why") == "no XML", F.replace(text, F.lit("</SaveVersion>"), F.lit("</Saved>"))).otherwise(text)
+    documents.select(F.regexp_replace(broken, "\\n", "").alias("value")).write.text(path)
     return path
 
 
+def write_xsd(spark: SparkSession) -> str:
+    """The schema file in the shared folder, by its path."""
+    path = scratch_path(spark, "xsd")
+    spark.createDataFrame([(PLAN_XSD.replace("\n", ""),)], "value string").coalesce(1).write.text(path)
+    return spark.read.format("binaryFile").load(path).select("path").first()["path"]
+
+
 @query("xml_hierarchy_scan", f"""
+WITH o AS (SELECT *, {PLAN_DAMAGE} AS why FROM orders)
 SELECT {PLAN_NAME_DUCK} AS Batch_Run_Id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS StartDate,
   1 + o_orderkey % 3 AS n_tasks, concat('task ', 1 + o_orderkey % 3) AS last_task,
-  o_orderkey % 4 AS n_times
-FROM orders
+  o_orderkey % 4 AS n_times, CAST(NULL AS VARCHAR) AS reason
+FROM o WHERE why IS NULL
+UNION ALL SELECT {PLAN_NAME_DUCK}, NULL, CAST(NULL AS BIGINT), NULL, CAST(NULL AS BIGINT), why FROM o WHERE why IS NOT NULL
 """)
 def _xml_hierarchy_scan(spark: SparkSession, folder: str) -> DataFrame:
-    plans = xml_scan(spark, write_plans(spark, folder), "Project", plan_schema(PlanMapping()), F.col("Name"), BATCH)
+    """Readable documents; broken ones and those against the schema with the reason."""
+    path = write_plans(spark, folder, PLAN_DAMAGE)
+    records = settle(xml_records(spark, path, "Project", plan_schema(PlanMapping()), F.col("Name"), BATCH, write_xsd(spark), multi_line=False), "records")
+    plans, rejects = split_records(records)
     times = F.col("Calendars.Calendar")[0]["WeekDays"]["WeekDay"][1]["WorkingTimes"]["WorkingTime"]
-    return plans.select(
+    good = plans.select(
         BATCH, "StartDate", F.size("Tasks.Task").cast("bigint").alias("n_tasks"),
         F.element_at("Tasks.Task.Name", -1).alias("last_task"),
         F.coalesce(F.array_size(times), F.lit(0)).cast("bigint").alias("n_times"),
     )
+    bad = rejects.select(F.regexp_extract("record", "<Name>([^<]+)</Name>", 1).alias(BATCH), "reason")
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 def write_raw_messages(spark: SparkSession, folder: str) -> str:

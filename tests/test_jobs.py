@@ -11,7 +11,7 @@ from millrace.operators import metadata
 from millrace.plans import extract, ledger, reload
 from millrace.session import scratch_path
 from millrace.sources.catalog import catalog_scan
-from millrace.sources.files import csv_folder_scan, csv_folder_tables, csv_scan, json_messages_scan, json_rejects
+from millrace.sources.files import csv_folder_scan, csv_folder_tables, csv_rejects, csv_scan, json_messages_scan, json_rejects
 from millrace.streaming import jobs
 
 
@@ -179,6 +179,22 @@ def csv_folder(spark):
     return path
 
 
+def test_unreadable_lines_are_returned(spark, rows):
+    path = scratch_path(spark, "csv").removeprefix("file:")
+    os.makedirs(path)
+    with open(f"{path}/a.csv", "w") as f:
+        f.write('id,when,note,extra\n1,2024-01-01,"a, b",x\nx,2024-01-02,c,\n2,soon,d,\ny,z,"e ""f""",\n3,2024-01-03\n4,,,,5\n5,,,\n')
+    schema = "id int, note string, when date, missing int"
+    assert rows(csv_scan(spark, path, schema).select("id", "note", F.col("when").cast("string"), "missing")) == [
+        (1, "a, b", "2024-01-01", None), (5, None, None, None)]
+    rejects = csv_rejects(spark, path, schema)
+    assert rows(rejects, "file_name", "reason") == [
+        ("a.csv", "id"), ("a.csv", "id, when"), ("a.csv", "number of cells"), ("a.csv", "number of cells"), ("a.csv", "when")]
+    assert 'y,z,"e ""f""",' in [r["record"] for r in rejects.collect()]
+    # The same lines are rejected whatever is asked for.
+    assert csv_scan(spark, path, schema).select("note").count() == 2 and csv_scan(spark, path, "note string").count() == 5
+
+
 SCHEMA = "id string, note string, start_dt string, seen_ts string, pin_encrptd string, fax string"
 
 
