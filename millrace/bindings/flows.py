@@ -20,7 +20,7 @@ from millrace.bindings.inputs import (
     loaded_messages,
     staged_messages,
 )
-from millrace.bindings.registry import AS_OF, query, table, tables
+from millrace.bindings.registry import AS_OF, EXACT, query, table, tables
 from millrace.bindings.scans_and_sinks import PLAN_DAMAGE, write_plans, write_xsd
 from millrace.functions.dates import format_seconds
 from millrace.operators.state import retention_delete
@@ -565,23 +565,27 @@ def _stream_file_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schema).parquet(target).selectExpr("event_id", "user_id", "event_type", EXACT_TS)
 
 
-@query("stream_dedup_versions", _EVENTS_SQL)
+@query("stream_dedup_versions", """
+WITH RECURSIVE kept AS (
+  SELECT user_id, event_type, min(ts) AS ts FROM events GROUP BY user_id, event_type
+  UNION ALL
+  SELECT k.user_id, k.event_type, min(e.ts) FROM kept k JOIN events e
+    ON e.user_id = k.user_id AND e.event_type = k.event_type AND e.ts > k.ts + INTERVAL 2 DAY GROUP BY k.user_id, k.event_type
+)
+SELECT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM kept
+""")
 def _stream_dedup_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """Events, then files whose rows all are older than the look-back, most of them repeats."""
+    """A user's events of a kind, two days apart; every delivery brings the one before it again."""
     events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    late = F.col("event_id") % 3 == 0
-    shift = F.expr("interval 400 days")
     path, target, state = (scratch_path(spark, n) for n in ("event-files", "deduplicated", "dedup-state"))
-    first = events.unionByName(events.where("event_type = 'purchase'")).where(~late).withColumn("ts", F.col("ts") + shift)
-    second = events.where(late).unionByName(events.where(late)).unionByName(first.where("event_type = 'purchase'"))
-    for delivery in (first, second):
-        delivery.repartition(2).write.mode("append").parquet(path)
-        stream = jobs.read_folder(spark, path, events.schema, files_per_batch=3)
-        _drain(jobs.stream_dedup_versions(stream, ["event_id", "ts"], "ts", target, state))
-    moved = F.when(late, F.col("ts")).otherwise(F.col("ts") - shift)
-    return spark.read.schema(events.schema).parquet(target).withColumn("ts", moved).selectExpr(
-        "event_id", "user_id", "event_type", EXACT_TS
-    )
+    week = F.expr("dayofmonth(ts) div 8")
+    for i in range(4):
+        events.where(week.between(i - 1, i)).coalesce(1).write.mode("append").parquet(path)
+    # Three files a batch, so the cut is not that of the deliveries.
+    stream = jobs.read_folder(spark, path, events.schema, files_per_batch=3)
+    _drain(jobs.stream_dedup_versions(stream, ["user_id", "event_type"], "ts", target, state, "2 days"))
+    return spark.read.schema(events.schema).parquet(target).select(
+        "user_id", "event_type", F.date_format("ts", EXACT).alias("ts"))
 
 
 @query("stream_upsert_latest", f"""
@@ -595,6 +599,6 @@ def _stream_upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     newest = [F.col("ts").desc(), F.col("event_id").desc()]
     stream = jobs.read_folder(spark, path, schema, files_per_batch=2)
     _drain(jobs.stream_upsert_latest(stream, ["user_id"], newest, target, scratch_path(spark, "upsert-state")))
-    return jobs.read_latest(spark, target, schema, ["user_id"], newest).selectExpr(
+    return jobs.read_latest(spark, target, schema).selectExpr(
         "event_id", "user_id", "event_type", EXACT_TS
     )

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import os
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -351,12 +353,75 @@ def test_latest_version_over_batches(spark, inbox, rows):
         jobs.stream_upsert_latest(
             jobs.read_folder(spark, path, schema(spark)), ["k"], newest, target, state).awaitTermination()
     expected = [("a", 1), ("b", 2)]
-    latest = jobs.read_latest(spark, target, schema(spark), ["k"], newest)
+    latest = jobs.read_latest(spark, target, schema(spark))
     assert rows(latest, "k", "x") == expected
-    # Running a batch again changes nothing.
-    latest.sparkSession.read.parquet(f"{target}/batch_id=1").count()
+    text = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Exchange" not in text
+    # A batch that is run again starts from the versions before it.
+    versions = jobs._versions(spark, target)
+    assert set(versions.values()) <= {0, 1} and 1 in versions.values()
     compacted = scratch_path(spark, "c")
-    jobs.compact(latest, compacted)
-    assert rows(jobs.read_latest(spark, compacted, schema(spark), ["k"], newest), "k", "x") == expected
-    with pytest.raises(ValueError, match="exists"):
-        jobs.compact(latest, target)
+    jobs.compact(spark, target, schema(spark), compacted)
+    assert rows(jobs.read_latest(spark, compacted, schema(spark)), "k", "x") == expected
+    put(("a", day(9), 7), ("c", day(1), 3))
+    jobs.stream_upsert_latest(
+        jobs.read_folder(spark, path, schema(spark)), ["k"], newest, compacted, scratch_path(spark, "s")).awaitTermination()
+    assert rows(jobs.read_latest(spark, compacted, schema(spark)), "k", "x") == [("a", 7), ("b", 2), ("c", 3)]
+    with pytest.raises(Exception, match="(?i)already.exists"):
+        jobs.compact(spark, compacted, schema(spark), target)
+
+
+def test_a_replay_of_a_batch_changes_nothing(spark, rows):
+    target = scratch_path(spark, "t")
+    jobs._begin(spark, target, "ignore")
+    frames = {}
+    for batch, data in enumerate(([("a", 1, 1)], [("a", 2, 2), ("b", 2, 2)], [("b", 3, 3)])):
+        df = spark.createDataFrame(data, "k string, v int, x int").withColumn("bucket", jobs._bucket(["k"], 4))
+        frames[batch] = df, sorted({r["bucket"] for r in df.collect()})
+        jobs._put_versions(*frames[batch], target, batch)
+    before = jobs._versions(spark, target)
+    jobs._put_versions(*frames[1], target, 1)
+    assert jobs._versions(spark, target) == before and jobs._versions(spark, target, 1) == dict.fromkeys(frames[0][1], 0)
+
+
+def brute_kept(rows, least):
+    """Row by row in order of arrival."""
+    kept = []
+    for k, t in rows:
+        if not any(k == a and (t is None and b is None or None not in (t, b) and abs(t - b) <= least) for a, b in kept):
+            kept.append((k, t))
+    return kept
+
+
+def _deliver(spark, path, files):
+    for i, rows_ in enumerate(files):
+        data = [(k, None if t is None else dt.datetime(2024, 1, 1) + dt.timedelta(days=t), 0) for k, t in rows_]
+        spark.createDataFrame(data, EVENTS).coalesce(1).write.parquet(f"{path}/f{i:03d}")
+        time.sleep(0.01)
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_any_cut_into_batches_keeps_the_same_rows(spark, seed):
+    rng = random.Random(seed)
+    files = [[(rng.choice(["a", "b", None]), rng.choice([None, *range(0, 200, 7)])) for _ in range(rng.randint(1, 6))] for _ in range(9)]
+    files[0] += [("a", 0), ("a", 20), ("a", 40)]
+    path = scratch_path(spark, "inbox")
+    _deliver(spark, path, files)
+    expected = sorted(brute_kept([r for f in files for r in f], 30), key=repr)
+    for per_batch in (1, 4, 9):
+        target = scratch_path(spark, "t")
+        stream = jobs.with_arrival(jobs.read_folder(spark, f"{path}/*", schema(spark), files_per_batch=per_batch))
+        jobs.stream_dedup_versions(stream, ["k"], "v", target, scratch_path(spark, "s"), arrival=[jobs.ARRIVAL], buckets=4).awaitTermination()
+        got = spark.read.parquet(target).select("k", F.datediff("v", F.lit("2024-01-01").cast("date"))).collect()
+        assert sorted(map(tuple, got), key=repr) == expected, per_batch
+
+
+def test_dropped_rows_hide_nothing(spark, inbox, rows):
+    path, put = inbox
+    for batches in ([["a0", "a20", "a40"]], [["a0"], ["a20"], ["a40"]]):
+        target, state = scratch_path(spark, "t"), scratch_path(spark, "s")
+        path = scratch_path(spark, "inbox")
+        for batch in batches:
+            spark.createDataFrame([("a", dt.datetime(2024, 1, 1) + dt.timedelta(days=int(r[1:])), 1) for r in batch], EVENTS).write.mode("append").parquet(path)
+            jobs.stream_dedup_versions(jobs.read_folder(spark, path, schema(spark)), ["k"], "v", target, state).awaitTermination()
+        assert rows(spark.read.parquet(target).select(F.dayofyear("v"))) == [(1,), (41,)]
