@@ -36,19 +36,21 @@ def targets(sizes: Mapping[str, int], weights: Mapping[str, float], most: float)
 
 
 def _reachable(lengths: Sequence[int], counts: Sequence[int], most: int, budget: int) -> tuple[int, list[tuple[int, int, int]]]:
-    """Sums up to ``most`` as the bits of one number, and the steps that reached them; stops when ``budget`` is reached.
+    """Sums up to ``most`` as the bits of one number, and the steps that reached them.
 
-    A count is split into powers of two and a rest, each of which is used or not.
+    A count is split into powers of two and a rest, each of which is used or not.  Stops
+    when ``budget`` is reached, which takes few of many lengths, or when the steps hold
+    ``MOST_BITS``: then the sums of the lengths so far are what there is to choose from.
     """
-    reach, mask, steps = 1, (1 << (most + 1)) - 1, []
+    reach, mask, steps, room = 1, (1 << (most + 1)) - 1, [], max(1, MOST_BITS // (most + 1))
     for i, (length, count) in enumerate(zip(lengths, counts, strict=True)):
         part, left = 1, min(count, most // length)
-        while left:
+        while left and len(steps) < room:
             part = min(part, left)
             steps.append((i, part, reach))
             reach |= reach << length * part & mask
             left, part = left - part, 2 * part
-        if reach >> budget & 1:
+        if reach >> budget & 1 or len(steps) >= room:
             break
     return reach, steps
 
@@ -78,19 +80,15 @@ def nearest_sum(lengths: Sequence[int], counts: Sequence[int], budget: int) -> l
     return _walk_back(lengths, steps, below if budget - below <= above - budget else above)
 
 
-def _bits(lengths: Sequence[int], counts: Sequence[int], budget: int) -> int:
-    """An upper bound for the bits that ``nearest_sum`` holds."""
-    return (2 * budget + 1) * sum(min(int(c), 2 * budget // int(n)).bit_length() for n, c in zip(lengths, counts, strict=True))
-
-
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
     """How many documents of each length to take so that their sizes add up to the budget, or come closest to it.
 
     Every length gives the same share first, rounded down.  The rest is filled by single
     documents, lengths in a seeded order, until it is small enough for ``nearest_sum``.
     If that misses, documents taken so far are given back, twice as many each time, and
-    the larger rest is fitted again: until the budget is met, all of them are given back
-    (no choice is closer then), or the sums would take more than ``MOST_BITS``.
+    the larger rest is fitted again: until the budget is met or all of them are given back
+    (no choice is closer then, if the sums of all lengths fit in ``MOST_BITS``).  The first
+    rest is fitted at every size; only a larger one, of which not even one sum fits, is not.
     """
     total = int((lengths * counts).sum())
     budget = min(budget, total)
@@ -112,11 +110,10 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int)
     while miss:
         # Longer ones than twice the rest are further away than taking none.
         fits = [i for i in order if share[i] < count[i] and length[i] < 2 * left]
-        pool = [length[i] for i in fits], [count[i] - share[i] for i in fits], left
-        if _bits(*pool) > MOST_BITS:
+        if back and 2 * left + 1 > MOST_BITS:
             break
         trial = list(share)
-        for i, n in zip(fits, nearest_sum(*pool), strict=True):
+        for i, n in zip(fits, nearest_sum([length[i] for i in fits], [count[i] - share[i] for i in fits], left), strict=True):
             trial[i] += n
         now = abs(budget - sum(n * t for n, t in zip(length, trial, strict=True)))
         if now < miss:
@@ -147,7 +144,8 @@ def mix(
     length, ``fit_budget`` picks a count per length, and those documents are selected by a
     seeded order of ``tie``.  The mix may end below or above a target, whichever is closer.
     It misses one only by what no choice of whole documents reaches if the sums of the
-    source fit in ``MOST_BITS``, else by what no choice among as many documents as fit does.
+    source fit in ``MOST_BITS``, else by what no choice among as many lengths as fit does; of
+    many lengths a few tens reach any rest.
 
     The driver sees one size per source; one task sees the distinct lengths of a source.
     Sizes must not be null or negative; documents of size 0 are taken ``times`` 0 or as

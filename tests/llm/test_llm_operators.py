@@ -235,35 +235,68 @@ def collected(found):
     return got
 
 
+def recall_of(got, expected):
+    assert {q: len(g) for q, g in got.items()} == {q: len(e) for q, e in expected.items()}
+    return sum(len({i for i, _ in got[q]} & {i for i, _ in expected[q]}) for q in expected) / sum(map(len, expected.values()))
+
+
 def test_op4_gives_every_query_its_rows(spark):
-    """The sample holds all 2,000 vectors, so the result is that of the brute force."""
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
     expected = brute_nearest(rows, 20)
     assert len(expected) == 100 and all(len(e) == 20 for e in expected.values())
-    assert collected(QUERIES["op4_adaptive_scan"](spark, "/root/testdata/sf0.1")) == expected
+    recall = recall_of(collected(QUERIES["op4_adaptive_scan"](spark, "/root/testdata/sf0.1")), expected)
+    print("recall", recall)
+    assert recall >= 0.95
 
 
-def test_neighbours_above_the_sample(spark):
-    """Every query has 20 rows where the index is fitted on a part of the table, and most are the true ones."""
+def clustered(n):
     rng = np.random.default_rng(3)
-    x = rng.normal(size=(60, 16))[rng.integers(0, 60, 24_000)] + 0.6 * rng.normal(size=(24_000, 16))
-    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    x = rng.normal(size=(60, 16))[rng.integers(0, 60, n)] + 0.6 * rng.normal(size=(n, 16))
+    return [(i, v) for i, v in enumerate(x.tolist())]
+
+
+@pytest.mark.parametrize("long", [None, 1e6, 1e20, 1e160])
+def test_neighbours_above_the_sample(spark, long):
+    """Every query has 20 rows where the index is fitted on a part of the table, whatever the length of one vector."""
+    rows = clustered(24_000)
     assert len(rows) > 2 * neighbours.SAMPLE
+    if long:
+        rows.append((24_001, [long, -long, *[0.0] * 14]))
     got = collected(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0))
-    expected = brute_nearest(rows, 20)
-    assert {q: len(g) for q, g in got.items()} == {q: 20 for q in expected}
-    recall = sum(len({i for i, _ in got[q]} & {i for i, _ in expected[q]}) for q in expected) / (20 * len(expected))
+    recall = recall_of(got, brute_nearest(rows, 20))
     print("recall", recall)
-    assert recall >= 0.9
+    assert recall >= 0.95
+
+
+def test_lists_grow_with_the_square_root(spark):
+    sizes = {}
+    for n in (400, 6400):
+        df = spark.createDataFrame(clustered(n), "id long, v array<double>").withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e * e)))
+        sizes[n] = len(neighbours.fit_index(df, n, 16, 20).centres)
+    assert sizes == {400: 5, 6400: 20}
+
+
+def test_neighbours_are_not_found_by_a_product_with_all(spark):
+    """Most pairs of the lists that are probed are abandoned, and most lists are not scanned whole."""
+    rows = np.array([v for _, v in clustered(6000)])
+    rng = np.random.default_rng(1)
+    index = neighbours.Index(4 * np.sqrt((rows**2).sum(axis=1)).max(), np.linalg.qr(rng.normal(size=(17, 17)))[0], None, 1)
+    r, q = index.rotate(rows, False), index.rotate(rows[:100], True)
+    columns = [r[:, :8], r[:, 8:]]
+    exact = rows[:100] @ rows.T / (np.sqrt((rows[:100] ** 2).sum(axis=1))[:, None] * index.top)
+    radius = 2 - 2 * np.sort(exact, axis=1)[:, -20]
+    qi, ci = neighbours.adaptive_scan(q, r, columns, [(c**2).sum(axis=1) for c in columns], radius)
+    assert len(qi) < 0.02 * exact.size
+    assert len(set(zip(qi.tolist(), ci.tolist())) & set(zip(*map(list, np.nonzero(2 - 2 * exact <= radius[:, None]))))) >= 1900
 
 
 def test_neighbours_with_a_sample_of_copies(spark, monkeypatch):
-    """A sample with fewer than k candidates: every list is read."""
+    """A query whose lists hold fewer than k candidates reads further ones whole."""
     monkeypatch.setattr(neighbours, "SAMPLE", 10)
     rng = np.random.default_rng(4)
     rows = [(i, v) for i, v in enumerate(rng.normal(size=(400, 8)).tolist())] + [(401, [1.0] * 8)] * 50
     found = collected(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0))
-    assert found == brute_nearest(rows, 20)
+    assert recall_of(found, brute_nearest(rows, 20)) >= 0.9
 
 
 # -- SimHash ----------------------------------------------------------------------------------
@@ -391,6 +424,15 @@ def test_large_budgets_are_fitted():
         assert (picks >= 0).all() and (picks <= counts).all() and int((picks * lengths).sum()) == budget
 
 
+@pytest.mark.parametrize("budget", [1000, 16_000, 16_384, 16_385, 9_000_001, 3_700_197_345, 9_999_000_007, 10**10])
+def test_budgets_are_met_among_many_lengths(budget):
+    lengths = np.arange(1, 20_001)
+    for counts in (np.full(20_000, 50), np.ones(20_000, dtype=int)):
+        picks = mixing.fit_budget(lengths, counts, budget, 7)
+        assert (picks >= 0).all() and (picks <= counts).all()
+        assert int((picks * lengths).sum()) == min(budget, int((lengths * counts).sum()))
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 60_000), st.integers(1, 3)), min_size=1, max_size=5, unique_by=lambda p: p[0]), st.integers(0, 400_000))
 def test_budgets_are_missed_only_by_what_nothing_reaches(items, budget):
