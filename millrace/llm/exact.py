@@ -10,53 +10,49 @@ from millrace.session import settle
 
 #: Characters that the prefix hash reads.
 PREFIX = 64
-#: Buckets of (length, prefix hash): the bound on what is broadcast.
-BUCKETS = 1 << 20
 
 
-def exact_groups(df: DataFrame, id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
+def exact_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each row with ``keep_id``, ``group_size`` and ``kept``; of equal texts the row with the largest id stays.
 
     Rows are grouped by byte length, those whose length is not unique by a hash of their
     first characters, and only the rows that still share a group have their full content
-    hashed (SHA-256) and compared.  What survives a step is kept as buckets of the group
-    key, ``buckets`` at most, which bounds the broadcast; two keys in one bucket only mean
-    that a row is read in full for nothing.  Rows that are alone in their bucket never
-    move.  The others are written once, with a row number that tells repeated rows apart.
+    hashed (SHA-256) and compared.  The first two steps work on a slim frame of 16 bytes a
+    row, which is written once; what they leave are keys, joined with the rows at every
+    size.  Rows that are alone with their key are done then.  The others get a row number,
+    pinned in a file, that tells repeated rows apart.
 
     Null texts count as empty.  A null id is smaller than any other.  Of rows that agree
     in id and text, one stays.  An empty table gives an empty one; old columns with the
     names of new ones are replaced.
     """
     sealed = Sealed(df, id, text)
-    df = sealed.inner
     whole = F.coalesce(F.col(text), F.lit(""))
-    length = F.octet_length(whole)
-    by_length = F.pmod(F.xxhash64(length), F.lit(buckets)).cast("int")
-    by_prefix = F.pmod(F.xxhash64(length, F.substring(whole, 1, PREFIX)), F.lit(buckets)).cast("int")
+    keyed = sealed.inner.withColumns({
+        "_length": F.octet_length(whole), "_prefix": F.xxhash64(F.substring(whole, 1, PREFIX)),
+    })
+    slim = settle(keyed.select("_length", "_prefix"), "prefixes")
 
-    def shared(rows: DataFrame, bucket) -> DataFrame:
-        counted = rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_many"))
-        return F.broadcast(counted.where("_many > 1"))
-
-    same_length = df.withColumn("_bucket", by_length).join(shared(df, by_length), "_bucket", "left_semi")
-    many = shared(same_length, by_prefix).withColumn("_many", F.lit(True))
-    tagged = df.withColumn("_bucket", by_prefix).join(many, "_bucket", "left").drop("_bucket")
+    def shared(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
 
+    same_length = slim.join(shared(slim, "_length"), "_length", "left_semi")
+    # Written before the join, which can split a hot key only if nothing is aggregated beside it.
+    many = settle(shared(same_length, "_length", "_prefix").withColumn("_many", F.lit(True)), "shared_prefixes")
+    tagged = settle(
+        keyed.join(many, ["_length", "_prefix"], "left").drop("_length", "_prefix")
+        .withColumn("_row", F.monotonically_increasing_id()), "tagged")
+    columns = sealed.inner.columns
     alone = tagged.where("_many IS NULL").select(
-        *df.columns, F.col(id).alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept")
-    )
-    # The number depends on how rows lie in the written files only, so every later read sees the same.
-    full = settle(tagged.where("_many").drop("_many").withColumn("_sha", F.sha2(whole, 256)), "same_prefix").withColumn(
-        "_row", F.monotonically_increasing_id()
+        *columns, F.col(id).alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept")
     )
+    full = tagged.where("_many").withColumn("_sha", F.sha2(whole, 256))
     groups = full.groupBy("_sha").agg(
         F.max(F.struct(F.col(id).alias("id"), F.col("_row").alias("row"))).alias("_best"),
         F.count(F.lit(1)).alias("group_size"),
     )
-    # Written before the join, which can split a hot text only if nothing is aggregated beside it.
     rest = full.join(settle(groups, "equal_texts"), "_sha").select(
-        *df.columns, F.col("_best.id").alias("keep_id"), "group_size", (F.col("_row") == F.col("_best.row")).alias("kept")
+        *columns, F.col("_best.id").alias("keep_id"), "group_size", (F.col("_row") == F.col("_best.row")).alias("kept")
     )
     return sealed.open(alone.unionByName(rest), "keep_id", "group_size", "kept")
 

@@ -464,12 +464,11 @@ def test_mix_of_nothing_and_clashes(empty, clashing):
 # -- exact copies -----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("buckets", [1, 8, exact.BUCKETS])
-def test_exact(odd, odd_rows, buckets):
+def test_exact(odd, odd_rows):
     groups = defaultdict(list)
     for r in odd_rows:
         groups[r[1] or ""].append(r[0])
-    out = exact.exact_groups(odd, buckets=buckets).collect()
+    out = exact.exact_groups(odd).collect()
     assert len(out) == len(odd_rows)
     kept = Counter()
     for r in out:
@@ -481,6 +480,16 @@ def test_exact(odd, odd_rows, buckets):
     assert kept == Counter(dict.fromkeys(groups, 1))
 
 
+def test_only_shared_prefixes_are_hashed(spark, monkeypatch):
+    """Of many texts with lengths and beginnings of their own, none is read in full."""
+    written = {}
+    settled = exact.settle
+    monkeypatch.setattr(exact, "settle", lambda df, name: written.setdefault(name, settled(df, name)))
+    texts = [(i, f"{i:07d}" + "x" * (i % 50)) for i in range(20_000)] + [(30_000 + i, "twice" * 30) for i in range(2)]
+    out = exact.exact_groups(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert written["tagged"].where("_many").count() == 2 and out.where("group_size = 2").count() == 2 and out.count() == 20_002
+
+
 def test_exact_of_nothing_and_clashes(empty, clashing, odd):
     assert exact.exact_groups(empty).count() == 0
     out = exact.exact_dedup(clashing)
