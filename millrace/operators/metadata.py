@@ -6,10 +6,22 @@ scale``, one row per column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.fixed_values import ALLOWED_WIDENING, PRIVATE_COLUMNS, UNSIZED_TYPES
+from millrace.fixed_values import (
+    ALLOWED_WIDENING,
+    NO_COLUMN,
+    NO_TABLE,
+    NUMERIC_TYPE,
+    OTHER_TYPE,
+    PRIVATE_COLUMNS,
+    SIZED_TYPE,
+    SMALLER_SIZE,
+    UNKNOWN_TYPE,
+    UNLIMITED_TYPE,
+    UNSIZED_TYPES,
+)
 from millrace.functions.cleansing import standardise_type
 
 #: Never reported, neither as drift nor in DDL.
@@ -22,6 +34,11 @@ def standardise_types(metadata: DataFrame) -> DataFrame:
     )
 
 
+def _sized() -> Column:
+    """A type with its size; a size that is NULL is unlimited."""
+    return F.when(F.col("size").isNull(), F.format_string(UNLIMITED_TYPE, "type")).otherwise(F.format_string(SIZED_TYPE, "type", "size"))
+
+
 def schema_drift_report(source: DataFrame, target: DataFrame) -> DataFrame:
     """What the target lacks: tables, columns, compatible types, sufficient sizes.
 
@@ -36,7 +53,7 @@ def schema_drift_report(source: DataFrame, target: DataFrame) -> DataFrame:
         tables, "table_name", "left_anti"
     ).select(
         "table_name", F.lit(None).cast("string").alias("column_name"),
-        F.lit("TABLE NOT FOUND").alias("issue"), F.col("table_name").alias("detail"),
+        F.lit(NO_TABLE).alias("issue"), F.col("table_name").alias("detail"),
     )
 
     both = source.join(tables.drop("_has_table"), "table_name", "left_semi").join(
@@ -47,7 +64,9 @@ def schema_drift_report(source: DataFrame, target: DataFrame) -> DataFrame:
     for old, new in ALLOWED_WIDENING:
         widened = widened | ((F.col("type") == old) & (F.col("t_type") == new))
     mismatch = (F.col("type") != F.col("t_type")) & ~widened
-    shrink = F.col("size") - F.col("t_size")
+    # A size that is NULL is unlimited, so it fits in no other.
+    unlimited = F.lit((1 << 31) - 1)
+    shrink = F.coalesce("size", unlimited) - F.coalesce("t_size", unlimited)
     tolerance = F.when(F.col("type") == "NUMERIC", 1).otherwise(0)
     too_small = (
         (F.col("type") == F.col("t_type")) & ~F.col("type").isin(UNSIZED_TYPES)
@@ -57,11 +76,9 @@ def schema_drift_report(source: DataFrame, target: DataFrame) -> DataFrame:
         F.col("type").isin(UNSIZED_TYPES), F.col("type")
     ).when(
         F.col("type") == "NUMERIC",
-        F.format_string("%s(%d,%d)", "type", "precision", "scale"),
-    ).otherwise(F.format_string("%s(%d)", "type", "size"))
-    issue = F.when(absent, "NOT FOUND").when(mismatch, "DATA TYPE MISMATCH").when(
-        too_small, "DATA SIZE MISMATCH"
-    )
+        F.format_string(NUMERIC_TYPE, "type", "precision", "scale"),
+    ).otherwise(_sized())
+    issue = F.when(absent, NO_COLUMN).when(mismatch, OTHER_TYPE).when(too_small, SMALLER_SIZE)
     detail = F.when(mismatch, F.concat_ws(" ", "type", F.lit("->"), "t_type")).otherwise(sized)
     columns = both.select(
         "table_name", "column_name", issue.alias("issue"), detail.alias("detail")
@@ -76,9 +93,9 @@ def column_ddl(metadata: DataFrame) -> DataFrame:
     ddl = (
         F.when(plain, F.concat(name, "type"))
         .when(F.col("type") == "NUMERIC",
-              F.concat(name, F.format_string("%s(%d,%d)", "type", "precision", "scale")))
-        .when(F.col("type") == "VARCHAR", F.concat(name, F.format_string("%s(%d)", "type", "size")))
-        .otherwise(F.concat(F.lit("*** Unknown data type **** "), name, "type"))
+              F.concat(name, F.format_string(NUMERIC_TYPE, "type", "precision", "scale")))
+        .when(F.col("type") == "VARCHAR", F.concat(name, _sized()))
+        .otherwise(F.concat(F.lit(UNKNOWN_TYPE), name, "type"))
     )
     return metadata.withColumn("ddl", ddl)
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from millrace.operators import metadata
 from millrace.plans import extract, ledger, reload
 from millrace.session import scratch_path
-from millrace.sources.catalog import catalog_scan
+from millrace.sources.catalog import measured_scan
 from millrace.sources.files import csv_folder_scan, csv_folder_tables, csv_rejects, csv_scan, json_messages_scan, json_rejects
 from millrace.streaming import jobs
 
@@ -99,9 +99,17 @@ def test_missing_table_is_reported_once(spark, rows):
     assert rows(metadata.schema_drift_report(mine, mine.where("false"))) == [("t", None, "TABLE NOT FOUND", "t")]
 
 
+def test_unlimited_text_fits_in_no_other(spark, rows):
+    mine = spark.createDataFrame([("t", 1, "a", "VARCHAR", None, 0, 0), ("t", 2, "b", "VARCHAR", 5, 0, 0)], META)
+    theirs = spark.createDataFrame([("t", 1, "a", "VARCHAR", 9, 0, 0), ("t", 2, "b", "VARCHAR", None, 0, 0)], META)
+    assert rows(metadata.schema_drift_report(mine, theirs)) == [("t", "a", "DATA SIZE MISMATCH", "VARCHAR(MAX)")]
+    assert metadata.schema_drift_report(mine, mine).count() == 0
+    assert rows(metadata.ddl_report(mine)) == [("t", "[a] VARCHAR(MAX)\n,[b] VARCHAR(5)")]
+
+
 def test_ddl(spark, rows):
     df = spark.createDataFrame([(None, 1, None, None, "x" * 36)], "a timestamp_ntz, b int, c date, d decimal(16,2), e string")
-    meta = metadata.standardise_types(catalog_scan({"t": df}))
+    meta = metadata.standardise_types(measured_scan({"t": df}))
     assert rows(metadata.ddl_report(meta)) == [
         ("t", "[a] DATETIME\n,[b] INTEGER\n,[c] DATE\n,[d] NUMERIC(16,2)\n,[e] VARCHAR(36)")]
     assert metadata.ddl_report(meta, ["other"]).count() == 0

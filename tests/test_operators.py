@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import aggregates, filters, joins, lists, projections, state, windows
 from millrace.sinks import tables as sinks
 from millrace.session import scratch_path, scratch_root
-from millrace.sources.catalog import catalog_scan, registered_tables
+from millrace.sources.catalog import catalog_scan, measure_tables, measured_scan, registered_tables
 from millrace.sources.tables import control_table_scan, jdbc_options, table_projected_scan
 
 
@@ -237,10 +237,33 @@ def test_jdbc_options():
         jdbc_options("jdbc:x", "t", partition_column="a")
 
 
-def test_registered_tables_can_be_measured(spark, rows):
+def test_columns_come_from_the_catalog(spark, rows):
+    database = "declared_test"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    try:
+        spark.sql(f"CREATE TABLE {database}.people (`a b` VARCHAR(7), c CHAR(2), d DECIMAL(9,2), note STRING, n BIGINT, at TIMESTAMP) "
+                  f"USING parquet PARTITIONED BY (n) LOCATION '{scratch_path(spark, 'people')}'")
+        spark.sql(f"INSERT INTO {database}.people VALUES ('x', 'y', 1.5, 'four', TIMESTAMP '2024-01-01 00:00:00', 1), ('x', 'y', 2, 'longest', NULL, 2)")
+        assert registered_tables(spark, database) == ["people"]
+        found = catalog_scan(spark, database)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in text and "Scan parquet" not in text
+        declared = [(1, "a b", "VARCHAR", 7, 0, 0), (2, "c", "CHAR", 2, 0, 0), (3, "d", "DECIMAL", 9, 9, 2), (4, "note", "NVARCHAR", None, 0, 0),
+                    (5, "at", "TIMESTAMP", 26, 26, 6), (6, "n", "BIGINT", 19, 19, 0)]
+        assert rows(found.drop("table_name")) == declared
+        measure_tables(spark, ["people"], database)
+        assert rows(catalog_scan(spark, database, ["people"]).where("size IS NOT NULL"), "column_name", "size")[2:3] == [("c", 2)]
+        assert catalog_scan(spark, database).where("column_name = 'note'").first()["size"] == 7
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_frames_without_a_catalog_are_measured(spark, rows):
     spark.createDataFrame([("abc", 1)], "name string, n bigint").createOrReplaceTempView("measured_view")
-    views = {"measured_view": registered_tables(spark)["measured_view"]}
-    assert rows(catalog_scan(views), "column_name", "type", "size") == [("n", "BIGINT", 19), ("name", "NVARCHAR", 3)]
+    assert "measured_view" in registered_tables(spark)
+    assert rows(catalog_scan(spark, tables=["measured_view"]), "column_name", "type", "size") == [("n", "BIGINT", 19), ("name", "NVARCHAR", None)]
+    views = {"measured_view": spark.table("measured_view")}
+    assert rows(measured_scan(views), "column_name", "type", "size") == [("n", "BIGINT", 19), ("name", "NVARCHAR", 3)]
 
 
 def test_scratch_follows_the_session(spark):

@@ -31,6 +31,11 @@ def test_filters_reach_the_scan(spark):
         assert pushed in plan(queries()[name](spark, FOLDER)), name
 
 
+def test_metadata_reads_no_data(spark):
+    for name in ("catalog_scan", "standardise_type", "ddl_report", "exclude_pii_columns", "build_column_list", "schema_drift_report"):
+        assert "FileScan" not in plan(queries()[name](spark, FOLDER)), name
+
+
 def test_batch_filter_prunes_partitions(spark):
     orders = parquet_table(spark, FOLDER, "orders").select("o_orderkey", "o_orderpriority")
     path = scratch_path(spark, "orders")
