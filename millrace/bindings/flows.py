@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import secrets
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
@@ -475,31 +476,53 @@ def _incremental_window(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("csv_cleanse_reload", """
-SELECT c_name AS "C_NAME", CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS "C_MKTSEGMENT",
-  CASE WHEN c_acctbal > 0 THEN '2024-01-31' END AS "OPEN_DT",
+#: Lines that a target cannot take: a date that is none, a segment that is too long, both.
+RELOAD_DAMAGE = "CASE WHEN c_custkey % 31 = 4 AND c_custkey % 37 = 5 THEN 'OPEN_DT, C_MKTSEGMENT' " \
+    "WHEN c_custkey % 31 = 4 THEN 'OPEN_DT' WHEN c_custkey % 37 = 5 THEN 'C_MKTSEGMENT' END"
+
+
+@query("csv_cleanse_reload", f"""
+WITH c AS (SELECT *, {RELOAD_DAMAGE} AS why FROM customer)
+SELECT 'CUSTOMER' AS table_name, c_name AS "C_NAME", CASE WHEN c_acctbal > 0 THEN '2024-01-31' END AS "OPEN_DT",
+  CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS "C_MKTSEGMENT",
   array_to_string(list_transform(string_split(CAST(c_nationkey AS VARCHAR), ''),
-    lambda c: lpad(bin(ord(c)), 8, '0')), '') AS "PIN_ENCRPTD"
-FROM customer
+    lambda x: lpad(bin(ord(x)), 8, '0')), '') AS "PIN_ENCRPTD", CAST(NULL AS VARCHAR) AS "FAX", CAST(NULL AS VARCHAR) AS reason,
+  CAST(NULL AS BIGINT) AS source_rows, CAST(NULL AS BIGINT) AS rejected_rows, CAST(NULL AS BIGINT) AS loaded_rows
+FROM c WHERE why IS NULL
+UNION ALL SELECT 'SUPPLIER', s_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM supplier
+UNION ALL SELECT 'CUSTOMER', NULL, NULL, NULL, NULL, NULL, why, NULL, NULL, NULL FROM c WHERE why IS NOT NULL
+UNION ALL SELECT 'CUSTOMER', NULL, NULL, NULL, NULL, NULL, NULL, count(*), count(why), count(*) - count(why) FROM c
+UNION ALL SELECT 'SUPPLIER', NULL, NULL, NULL, NULL, NULL, NULL, count(*), 0, count(*) FROM supplier
 """)
 def _csv_cleanse_reload(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "customer").select(
-        "c_custkey", "c_name", F.when(F.col("c_mktsegment") == "BUILDING", "  ")
-        .otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
-        F.when(F.col("c_acctbal") > 0, "2024-01-31").otherwise(" ").alias("open_dt"),
-        F.col("c_nationkey").cast("string").alias("pin_encrptd"), F.lit("").alias("fax"),
-    )
-    path = scratch_path(spark, "reload-csv")
-    rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False).csv(path)
-    schema = ("c_custkey bigint, c_name string, c_mktsegment string, open_dt string, pin_encrptd string, fax string")
+    """A folder of two tables and a stray file into declared targets; rows, rejects and counts."""
+    root, database = scratch_path(spark, "reload-csv"), f"reload_{uuid.uuid4().hex}"
+    customer, supplier = tables(spark, folder, "customer", "supplier")
+    spaces = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    why = F.expr(RELOAD_DAMAGE)
+    segment = F.when(F.col("c_mktsegment") == "BUILDING", "  ").otherwise(F.col("c_mktsegment"))
+    customer.select(
+        F.when(F.coalesce(why, F.lit("")).contains("OPEN_DT"), "soon").when(F.col("c_acctbal") > 0, "2024-01-31").otherwise(" ").alias("open_dt"),
+        "c_custkey", "c_name", F.when(F.coalesce(why, F.lit("")).contains("SEGMENT"), F.repeat(F.lit("x"), F.lit(11))).otherwise(segment).alias("c_mktsegment"),
+        F.col("c_nationkey").cast("string").alias("pin_encrptd"), F.lit(" ").alias("fax"),
+    ).write.options(**spaces).csv(f"{root}/customer.csv")
+    supplier.select("s_suppkey", "s_name").write.options(**spaces).csv(f"{root}/deep/supplier.csv")
+    supplier.select("s_suppkey").write.options(**spaces).csv(f"{root}/stray.csv")
     rules = spark.createDataFrame(
-        [("CUSTOMER", "C_CUSTKEY", 0, 1), ("CUSTOMER", "C_MKTSEGMENT", 0, 0), ("OTHER", "C_NAME", 0, 1)],
+        [("CUSTOMER", "C_MKTSEGMENT", 0, 0), ("OTHER", "C_NAME", 0, 1)],
         "TABLE_NAME string, COLUMN_NAME string, NULLABLE int, IDENTITY_COL int",
     )
-    required, identity = reload.column_rules(rules, "customer")
-    clean = reload.csv_cleanse(csv_scan(spark, path, schema), required, identity)
-    return truncate_load(clean, scratch_path(spark, "reload"))
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    for name, columns in (
+        ("customer", "C_NAME VARCHAR(25), OPEN_DT DATE, C_MKTSEGMENT VARCHAR(10), PIN_ENCRPTD STRING, FAX STRING"),
+        ("supplier", "S_NAME STRING"), ("untouched", "X INT"),
+    ):
+        spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet LOCATION '{scratch_path(spark, name)}'")
+    done = reload.csv_reload_folder(spark, root, database, rules)
+    loaded = done.tables["CUSTOMER"].withColumn("OPEN_DT", F.col("OPEN_DT").cast("string")).select(F.lit("CUSTOMER").alias("table_name"), "*")
+    suppliers = done.tables["SUPPLIER"].select(F.lit("SUPPLIER").alias("table_name"), F.col("S_NAME").alias("C_NAME"))
+    parts = [suppliers, done.rejects.select("table_name", "reason"), done.counts.select("table_name", "source_rows", "rejected_rows", "loaded_rows")]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts, loaded)
 
 
 @query("sheet_estimate_load", """

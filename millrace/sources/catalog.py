@@ -56,10 +56,14 @@ def _longest(spark: SparkSession, table: str, column: str) -> int | None:
     return int(found) if found not in (None, "NULL") else None
 
 
-def _declared(spark: SparkSession, table: str) -> list[tuple[str, str]]:
+def _full(name: str, database: str | None) -> str:
+    return _quoted(*([database] if database else []), name)
+
+
+def declared_columns(spark: SparkSession, table: str, database: str | None = None) -> list[tuple[str, str]]:
     """Names and declared types of a table's columns (``listColumns`` shows every text as string)."""
     out = []
-    for r in spark.sql(f"DESCRIBE TABLE {table}").collect():
+    for r in spark.sql(f"DESCRIBE TABLE {_full(table, database)}").collect():
         # What follows the columns is about partitions.
         if not r["col_name"] or r["col_name"].startswith("#"):
             break
@@ -76,12 +80,11 @@ def catalog_scan(spark: SparkSession, database: str | None = None, tables: Seque
     """
     rows = []
     for name in registered_tables(spark, database) if tables is None else tables:
-        full = _quoted(*([database] if database else []), name)
         temporary = not database and spark.catalog.getTable(name).isTemporary
-        for i, (column, kind) in enumerate(_declared(spark, full)):
+        for i, (column, kind) in enumerate(declared_columns(spark, name, database)):
             vendor, size, precision, scale = _vendor(kind)
             if size is None and not temporary:
-                size = _longest(spark, full, column)
+                size = _longest(spark, _full(name, database), column)
             rows.append((name, i + 1, column, vendor, size, precision, scale))
     return spark.createDataFrame(rows, METADATA)
 
@@ -89,10 +92,9 @@ def catalog_scan(spark: SparkSession, database: str | None = None, tables: Seque
 def measure_tables(spark: SparkSession, tables: Sequence[str], database: str | None = None) -> None:
     """Compute the statistics of all text columns without a declared length; one pass over each table."""
     for name in tables:
-        full = _quoted(*([database] if database else []), name)
-        texts = [_quoted(column) for column, kind in _declared(spark, full) if kind.lower() == "string"]
+        texts = [_quoted(column) for column, kind in declared_columns(spark, name, database) if kind.lower() == "string"]
         if texts:
-            spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS FOR COLUMNS {', '.join(texts)}")
+            spark.sql(f"ANALYZE TABLE {_full(name, database)} COMPUTE STATISTICS FOR COLUMNS {', '.join(texts)}")
 
 
 def _described(position: int, field: T.StructField) -> Column:

@@ -189,6 +189,29 @@ def csv_folder(spark):
     return path
 
 
+def test_reload_into_declared_tables(spark, csv_folder, rows):
+    database = "reload_test"
+    with open(f"{csv_folder}/pets.csv", "w") as f:
+        f.write("Name,ID,weight\nrex,1,2.5\n tom ,2,heavy\nlongername,3,\nbo,x\n,4,1\n")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    try:
+        for name, columns in (("people", "ID INT, NOTE STRING, START_DT DATE, FAX STRING, AGE INT"), ("PETS", "WEIGHT DECIMAL(5,2), NAME VARCHAR(6), ID BIGINT")):
+            spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet LOCATION '{scratch_path(spark, name)}'")
+        rules = spark.createDataFrame([("PETS", "NAME", 0, 0), ("PETS", "ID", 0, 0)], "TABLE_NAME string, COLUMN_NAME string, NULLABLE int, IDENTITY_COL int")
+        for _ in range(2):
+            done = reload.csv_reload_folder(spark, csv_folder, database, rules)
+            assert sorted(done.tables) == ["PEOPLE", "PETS"]
+            # Blank today and absent from the file, FAX and AGE stay.
+            assert rows(done.tables["PEOPLE"].withColumn("START_DT", F.col("START_DT").cast("string"))) == [
+                (1, None, "2024-01-01", None, None), (2, None, None, None, None), (3, "a, b", "2024-01-03", None, None)]
+            assert rows(done.tables["PETS"].withColumn("WEIGHT", F.col("WEIGHT").cast("string"))) == [("1.00", "", 4), ("2.50", "rex", 1)]
+            assert rows(done.rejects, "table_name", "reason") == [("PETS", "NAME"), ("PETS", "WEIGHT"), ("PETS", "number of cells")]
+            assert rows(done.counts.withColumn("percent_loaded", F.col("percent_loaded").cast("double"))) == [
+                ("PEOPLE", 3, 0, 3, 0, 100.0), ("PETS", 5, 3, 2, 3, 40.0)]
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def test_unreadable_lines_are_returned(spark, rows):
     path = scratch_path(spark, "csv").removeprefix("file:")
     os.makedirs(path)
