@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import chain, repeat
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.merges import PairMerger
 from millrace.llm.token_bytes import TokenBytes, gather
 
 #: Code points that are cut into pre-tokens at a time; a longer text goes in parts.
@@ -179,34 +179,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Merge the pair of least rank, the leftmost first, until none has a rank.  O(n log n) for any length."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i:i + 2])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, i, end = heapq.heappop(heap)
-        j = after[i]
-        # Stale if the left part is gone or one of the two has grown since.
-        if j < 0 or j >= n or after[j] != end:
-            continue
-        after[i], after[j] = end, -1
-        if end < n:
-            before[end] = i
-            if (r := ranks.get(piece[i:after[end]])) is not None:
-                heapq.heappush(heap, (r, i, after[end]))
-        h = before[i]
-        if h >= 0 and (r := ranks.get(piece[h:end])) is not None:
-            heapq.heappush(heap, (r, h, end))
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i:after[i]]])
-        i = after[i]
-    return out
+def pair_merger(ranks: dict[bytes, int]) -> PairMerger:
+    """The merges that ranks of byte sequences allow: any two known sequences that make a known one, by its rank."""
+    pairs = [
+        (ranks[token[:i]], ranks[token[i:]], rank)
+        for token, rank in ranks.items() for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks
+    ]
+    left, right, rank = np.array(pairs, dtype=np.int64).T
+    return PairMerger(left, right, rank, rank)
 
 
 class ByteBpe:
@@ -218,6 +198,8 @@ class ByteBpe:
         for token, rank in self._ranks.items():
             tokens[rank] = token
         self.tokens = TokenBytes(tokens)
+        self._merger = pair_merger(self._ranks)
+        self._symbols = np.array([self._ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         self._pre, self._limit, self._chunk = PreTokenizer(), limit, chunk
         self._reset()
 
@@ -227,15 +209,25 @@ class ByteBpe:
         self._at = self._size = np.zeros(0, dtype=np.int64)
 
     def _learn(self, pieces: Iterable[str]) -> None:
+        """Merge new slices side by side; one that is known as a whole is that id."""
         pieces = list(pieces)
-        ids = [merge_pairs(p.encode(), self._ranks) for p in pieces]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        texts = [p.encode() for p in pieces]
+        whole = np.fromiter(map(self._ranks.get, texts, repeat(-1)), dtype=np.int64, count=len(texts))
+        rest = np.flatnonzero(whole < 0)
+        sizes = np.ones(len(texts), dtype=np.int64)
+        cut = [texts[i] for i in rest.tolist()]
+        lengths = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        sizes[rest], ids = self._merger.merge(self._symbols[np.frombuffer(b"".join(cut), dtype=np.uint8)], lengths)
+        at = np.cumsum(sizes) - sizes
         total = int(sizes.sum())
+        flat = np.empty(total, dtype=np.uint32)
+        flat[at[whole >= 0]] = whole[whole >= 0]
+        flat[np.repeat(whole < 0, sizes)] = ids
         while len(self._flat) < self._used + total:
             self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
-        self._flat[self._used:self._used + total] = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=total)
+        self._flat[self._used:self._used + total] = flat
         self._code.update(zip(pieces, range(len(self._code), len(self._code) + len(pieces)), strict=True))
-        self._at = np.concatenate([self._at, self._used + np.cumsum(sizes) - sizes])
+        self._at = np.concatenate([self._at, self._used + at])
         self._size = np.concatenate([self._size, sizes])
         self._used += total
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -10,6 +11,8 @@ from itertools import chain, islice, repeat
 
 import numpy as np
 
+from millrace.llm.merges import PairMerger
+
 #: A single space between two characters that no reading of "white space" includes.
 _CUT = re.compile(r" (?=\S)(?<=\S )")
 #: White space beside a space, or such as is looked for one by one.
@@ -19,6 +22,7 @@ _RARE = re.compile(r"[^\S \n\t\r]")
 #: Pieces of plain letters, plain punctuation and single line ends: both patterns split them just there.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[{_LETTERS}.,;:!?]+(?:\n[{_LETTERS}.,;:!?]+)*")
+_STOPS = frozenset(".,;:!?")
 _PARTS = re.compile(rf"[{_LETTERS}]+|[.,;:!?]+|\n")
 
 
@@ -57,9 +61,10 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         # The strings of special tokens are ordinary text when they occur in a document.
         self._tokenizer.encode_special_tokens = True
-        #: The merges alone, for parts that are one word to the pattern.
-        self._model = self._tokenizer.model
         self._letters = byte_letters()
+        #: The merges alone, for parts that are one word to the pattern.
+        self._merger: PairMerger | None = None
+        self._own_merges(path)
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._drops_space = not self._tokenizer.encode(" ", add_special_tokens=False).ids
         self._end, self._limit = end, limit
@@ -107,17 +112,37 @@ class WordTokenizer:
 
     def _encode_words(self, keys: list[object]) -> None:
         """Parts that ``_PARTS`` finds: no normalising but lower case, no pattern, only the merges."""
-        merge, letters, before = self._model.tokenize, self._letters, "" if self._drops_space else self._letters[32]
-        ids = []
+        if self._merger is None:
+            self._encode(keys)
+            return
+        before, words = b"" if self._drops_space else b" ", []
         for key in keys:
-            glued = isinstance(key, tuple)
-            word = key[0] if glued else key
+            word = key[0] if isinstance(key, tuple) else key
             if self._drops_space:
                 word = word.lower()
-            if not word.isascii() or word == "\n":
-                word = word.encode().decode("latin-1").translate(letters)
-            ids.append([t.id for t in merge(word if glued else before + word)])
-        self._add_lists(keys, ids)
+            words.append(word.encode() if isinstance(key, tuple) else before + word.encode())
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        flat = np.frombuffer(b"".join(words), dtype=np.uint8)
+        symbols = self._inner[flat]
+        last = np.cumsum(sizes) - 1
+        symbols[last] = self._final[flat[last]]
+        sizes, ids = self._merger.merge(symbols, sizes)
+        self._add(keys, sizes, ids)
+
+    def _own_merges(self, path: str) -> None:
+        """The merges of a byte-level file, if it has nothing but merges to make of a word."""
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        plain = not any(model.get(k) for k in ("ignore_merges", "dropout", "continuing_subword_prefix", "byte_fallback"))
+        letters, vocab, end = {b: self._letters.get(b, chr(b)) for b in range(256)}, model["vocab"], model.get("end_of_word_suffix") or ""
+        if not plain or not all(letters[b] in vocab and letters[b] + end in vocab for b in range(256)):
+            return
+        self._inner = np.array([vocab[letters[b]] for b in range(256)], dtype=np.int64)
+        self._final = np.array([vocab[letters[b] + end] for b in range(256)], dtype=np.int64)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self._merger = PairMerger(
+            np.array([vocab[x] for x, _ in pairs]), np.array([vocab[y] for _, y in pairs]), np.arange(len(pairs)),
+            np.array([vocab[x + y] for x, y in pairs]))
 
     def _add_lists(self, keys: list[object], ids: list[list[int]]) -> None:
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
@@ -139,13 +164,17 @@ class WordTokenizer:
         for key in keys:
             glued = isinstance(key, tuple)
             text = key[0] if glued else key
+            own: list[object]
             if text.isascii() and text.isalpha():
                 single.add(key)
                 continue
-            if not _PLAIN.fullmatch(text):
+            if text[-1:] in _STOPS and text[:-1].isascii() and text[:-1].isalpha():
+                own = [text[:-1], text[-1]]
+            elif not _PLAIN.fullmatch(text):
                 whole.append(key)
                 continue
-            own: list[object] = _PARTS.findall(text)
+            else:
+                own = _PARTS.findall(text)
             if len(own) == 1:
                 single.add(key)
                 continue
