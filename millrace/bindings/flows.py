@@ -23,6 +23,7 @@ from millrace.bindings.inputs import (
 )
 from millrace.bindings.registry import AS_OF, EXACT, query, table, tables
 from millrace.bindings.scans_and_sinks import PLAN_DAMAGE, write_plans, write_xsd
+from millrace.fixed_values import COMPARED_MESSAGE_COLUMNS, ESTIMATE_COLUMNS
 from millrace.functions.dates import format_seconds
 from millrace.operators.state import retention_delete
 from millrace.plans import extract, ledger, messages, outbound, reload
@@ -162,24 +163,38 @@ def _plan_stage_to_integrated(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- recognition messages ----------------------------------------------------------------------
 
-COMPARED = ["SRC_THRD_TS", "MSG_TXT", "TO_USR_EMAIL", "TO_USR_SRC_ID", "EDITED"]
+#: The compared fields that staged messages of the tables lack, by their SQL.
+_MORE_FIELDS = {
+    "RPLY_CNT": "CAST(event_id % 9 AS VARCHAR)", "RPLY_USRS_CNT": "CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 3 AS VARCHAR) END",
+    "LTST_RPLY_TS": "CASE WHEN event_id % 4 = 1 THEN SRC_TS END", "RPLY_USRS_SCTN": "concat('[', event_id % 6, ']')",
+    "RPLIES_SCTN": "CASE WHEN event_id % 3 = 2 THEN '[]' END", "REACTN_SCTN": "CASE WHEN event_id % 5 > 0 THEN concat('[', event_id, ']') END",
+    "TO_USRNM": "concat('name', event_id % 7)", "ICNS": "CASE WHEN event_id % 6 = 0 THEN '{}' END",
+}
+_WIDE_SQL = f"SELECT s.*, {', '.join(f'{e} AS {c}' for c, e in _MORE_FIELDS.items())} FROM ({STAGED_SQL}) s"
+#: One field of a stored message is another than staged: gone, or with an x more; two in fifteen have none such.
+_STORED_FIELDS = {
+    c: f"CASE WHEN event_id % 15 <> {i} THEN {c} WHEN event_id % 2 = 0 THEN NULL ELSE concat(coalesce({c}, ''), 'x') END"
+    for i, c in enumerate(COMPARED_MESSAGE_COLUMNS)
+}
 
 
 @query("detect_changed_versions", f"""
-WITH staged AS ({STAGED_SQL}),
-incoming AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY SRC_TS ORDER BY INTRNL_TS DESC) AS rn
-  FROM staged) v WHERE rn = 1),
-stored AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY SRC_TS ORDER BY INTRNL_TS DESC) AS rn
-  FROM staged WHERE INTRNL_TS < TIMESTAMP '2024-01-21 00:00:00') v WHERE rn = 1)
-SELECT i.event_id, i.SRC_TS AS src_ts, i.MSG_TXT AS msg_txt FROM incoming i LEFT JOIN stored s ON s.SRC_TS = i.SRC_TS
-WHERE s.SRC_TS IS NULL OR {' OR '.join(f'i.{c} IS DISTINCT FROM s.{c}' for c in COMPARED)}
+WITH incoming AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY SRC_TS ORDER BY INTRNL_TS DESC) AS rn
+  FROM ({_WIDE_SQL}) w) v WHERE rn = 1),
+stored AS (SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in _STORED_FIELDS.items())}) FROM incoming WHERE event_id % 11 > 0)
+SELECT i.event_id, i.SRC_TS AS src_ts, {', '.join(f"coalesce(i.{c}, '~') AS {c.lower()}" for c in COMPARED_MESSAGE_COLUMNS if c != 'SRC_TS')}
+FROM incoming i LEFT JOIN stored s ON s.SRC_TS = i.SRC_TS
+WHERE s.SRC_TS IS NULL OR {' OR '.join(f'i.{c} IS DISTINCT FROM s.{c}' for c in COMPARED_MESSAGE_COLUMNS)}
 """)
 def _detect_changed_versions(spark: SparkSession, folder: str) -> DataFrame:
-    staged = staged_messages(spark, folder)
-    stored = staged.where(F.col("INTRNL_TS") < ts("2024-01-21 00:00:00"))
-    return messages.detect_changed_versions(
-        messages.latest_versions(staged), stored, compared=COMPARED
-    ).select("event_id", F.col("SRC_TS").alias("src_ts"), F.col("MSG_TXT").alias("msg_txt"))
+    """Of the latest versions, those of which any of the thirteen fields is another than stored, and new ones."""
+    staged = staged_messages(spark, folder).withColumns({c: F.expr(e.replace("VARCHAR", "STRING")) for c, e in _MORE_FIELDS.items()})
+    incoming = settle(messages.latest_versions(staged), "incoming")
+    stored = incoming.where("event_id % 11 > 0").select("SRC_TS", "INTRNL_TS", *[F.expr(e).alias(c) for c, e in _STORED_FIELDS.items()])
+    return messages.detect_changed_versions(incoming, stored).select(
+        "event_id", F.col("SRC_TS").alias("src_ts"),
+        *[F.coalesce(c, F.lit(NOTHING)).alias(c.lower()) for c in COMPARED_MESSAGE_COLUMNS],
+    )
 
 
 def _folded_sql(source: str) -> str:
@@ -525,20 +540,29 @@ def _csv_cleanse_reload(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts, loaded)
 
 
-@query("sheet_estimate_load", """
-SELECT CAST(c_custkey AS VARCHAR) AS "EMPL_ID", c_mktsegment AS "PROJ_ID", '2024-01-31 00:00:00' AS "PROJ_STRT_DT",
-  c_name AS "RESRC_NM", CAST(c_nationkey AS VARCHAR) AS "RT" FROM customer WHERE c_acctbal > 0
+#: A sheet's cells by their headers, as SQL over customers; the headers are those of the fixed list.
+_SHEET = {
+    "Employee ID": "CASE WHEN c_acctbal > 0 THEN CAST(c_custkey AS VARCHAR) END", "Project ID": "c_mktsegment",
+    "Project Start Date": "CASE WHEN c_custkey % 7 = 0 THEN 'soon' ELSE '2024-01-31' END", "Resource Name": "c_name",
+    "Role": "concat('role ', c_nationkey)", "Type": "CASE WHEN c_custkey % 2 = 0 THEN 'T' END", "Client": "concat('client, ', c_custkey % 9)",
+    "Client ID": "CAST(c_custkey % 9 AS VARCHAR)", "Project Name": "concat(c_mktsegment, ' \"', c_custkey % 5, '\"')",
+    "TPS_Type": "CASE WHEN c_custkey % 3 = 0 THEN 'x' END", "Cost": "CAST(c_custkey % 100 AS VARCHAR)", "Rate": "CAST(c_nationkey AS VARCHAR)",
+    "Hours": "CAST(c_custkey % 40 AS VARCHAR)", "Resource Cost": "CAST(c_custkey % 1000 AS VARCHAR)",
+    "Resource Revenue": "CASE WHEN c_custkey % 4 > 0 THEN CAST(c_custkey AS VARCHAR) END",
+}
+_SHEET_SQL = {ESTIMATE_COLUMNS[h]: e for h, e in _SHEET.items()} | {
+    "PROJ_STRT_DT": "CASE WHEN c_custkey % 7 <> 0 THEN '2024-01-31 00:00:00' END"}
+
+
+@query("sheet_estimate_load", f"""
+SELECT {', '.join(f'{e} AS "{c}"' for c, e in _SHEET_SQL.items())} FROM customer WHERE c_acctbal > 0
 """)
 def _sheet_estimate_load(spark: SparkSession, folder: str) -> DataFrame:
-    sheet = table(spark, folder, "customer").select(
-        F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).alias("Employee ID"),
-        F.col("c_mktsegment").alias("Project ID"), F.lit("2024-01-31").alias("Project Start Date"),
-        F.col("c_name").alias("Resource Name"), F.col("c_nationkey").alias("Rate"),
-    )
-    path = scratch_path(spark, "sheet")
-    sheet.write.option("header", True).csv(path)
-    text = ", ".join(f"`{c}` string" for c in sheet.columns)
-    loaded = truncate_load(reload.estimate_rows(csv_scan(spark, path, text)), scratch_path(spark, "estimate"))
+    """All fifteen columns of a sheet; dates that are none are NULL, rows without an employee are not loaded."""
+    sheet = table(spark, folder, "customer").select(*[F.expr(e.replace("VARCHAR", "STRING")).alias(h) for h, e in _SHEET.items()])
+    path = scratch_path(spark, "estimates")
+    sheet.write.option("header", True).option("escape", '"').csv(path)
+    loaded = reload.estimate_rows(csv_scan(spark, path, sheet.schema))
     return loaded.withColumn("PROJ_STRT_DT", format_seconds(F.col("PROJ_STRT_DT")))
 
 

@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.bindings.inputs import (
     PLAN_NAME_DUCK,
     PLAN_NAME_SPARK,
+    RAW_SCHEMA,
     RAW_SQL,
     STAGED_SQL,
+    raw_messages,
     staged_messages,
 )
 from millrace.bindings.registry import AS_OF, query, table
-from millrace.bindings.scans_and_sinks import scan_raw_messages
 from millrace.functions.cleansing import base_name, file_segment, file_stem, substring_project_id
 from millrace.functions.text import valid_user_id
 from millrace.operators import filters, projections
 from millrace.operators.aggregates import distinct_keys
-from millrace.plans.messages import optional_fields
+from millrace.plans.messages import SCALARS, SECTIONS, optional_fields
+from millrace.session import scratch_path
+from millrace.sources.files import json_messages_scan
 
 
 def as_of():
@@ -77,19 +81,40 @@ def _add_default_columns(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Keys of an export beside those of the raw messages: their type, value, and the value's text.  All but a few messages lack some.
+_OPTIONAL = {
+    "message_id": ("bigint", "event_id", "CAST(event_id AS VARCHAR)", 2), "client_message_id": ("string", "concat('c', event_id)", "concat('c', event_id)", 3),
+    "parent_user_id": ("string", "concat('P', event_id % 9)", "concat('P', event_id % 9)", 4), "FLS_SCTN": ("string", "'files'", "'files'", 5),
+    "upload": ("boolean", "event_id % 2 = 0", "CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END", 6),
+    "display_as_bot": ("boolean", "false", "'false'", 7), "reply_users_count": ("bigint", "event_id % 5", "CAST(event_id % 5 AS VARCHAR)", 8),
+    "latest_reply": ("string", "ts", "ts", 9), "subscribed": ("boolean", "true", "'true'", 10), "bot_id": ("string", "concat('B', event_id)", "concat('B', event_id)", 11),
+    "attachments": ("array<struct<id: bigint>>", "array(named_struct('id', event_id))", """concat('[{{"id":', event_id, '}}]')""", 2),
+    "reply_users": ("array<string>", "array(ts, 'U2')", """concat('["', ts, '","U2"]')""", 3),
+    "replies": ("array<struct<ts: string>>", "array(named_struct('ts', ts))", """concat('[{{"ts":"', ts, '"}}]')""", 4),
+    "icons": ("struct<emoji: string>", "named_struct('emoji', ':x:')", """'{{"emoji":":x:"}}'""", 5),
+    "root": ("struct<text: string, n: bigint>", "named_struct('text', 'a, b', 'n', event_id)", """concat('{{"text":"a, b","n":', event_id, '}}')""", 6),
+}
+_WIDE_SCHEMA = ", ".join([RAW_SCHEMA, *[f"{c} {kind}" for c, (kind, *_) in _OPTIONAL.items()]])
+_TARGETS = {**SCALARS, **SECTIONS}
+
+
 @query("optional_fields", f"""
-SELECT ts AS "SRC_TS", thread_ts AS "SRC_THRD_TS", type AS "MSG_TYP", subtype AS "MSG_SBTYP",
-  text, CAST(reply_count AS VARCHAR) AS "RPLY_CNT",
+SELECT text, "user", username, ts AS "SRC_TS", thread_ts AS "SRC_THRD_TS", type AS "MSG_TYP", subtype AS "MSG_SBTYP",
+  CAST(reply_count AS VARCHAR) AS "RPLY_CNT",
   CASE WHEN n_reactions > 0 THEN concat('[{{"name":"', event_type, '","count":', n_reactions, '}}]') END AS "REACTN_SCTN",
   CASE WHEN n_edit = 0 THEN concat('{{"user":"U1","ts":"', ts, '"}}') END AS "EDITED",
-  CAST(NULL AS VARCHAR) AS "ROOT_SCTN", CAST(NULL AS VARCHAR) AS "BOT_ID"
+  {', '.join(f'CASE WHEN event_id % {n} = 0 THEN {text.replace("{{", "{").replace("}}", "}")} END AS "{_TARGETS[c]}"' for c, (_, _, text, n) in _OPTIONAL.items())}
 FROM ({RAW_SQL.replace('AS user,', 'AS "user",')}) r
 """)
 def _optional_fields(spark: SparkSession, folder: str) -> DataFrame:
-    return optional_fields(scan_raw_messages(spark, folder)).select(
-        "SRC_TS", "SRC_THRD_TS", "MSG_TYP", "MSG_SBTYP", "text", "RPLY_CNT", "REACTN_SCTN", "EDITED",
-        "ROOT_SCTN", "BOT_ID",
-    )
+    """All 22 known keys, and the text and sender, of messages that lack some of them."""
+    number = F.regexp_extract("ts", r"\.0*([0-9]+)$", 1).cast("long")
+    raw = raw_messages(spark, folder).withColumn("event_id", number)
+    wide = raw.select(*raw.columns[:-1], *[
+        F.when(F.col("event_id") % n == 0, F.expr(value)).cast(kind).alias(c) for c, (kind, value, _, n) in _OPTIONAL.items()])
+    path = scratch_path(spark, "messages-json")
+    wide.select(F.array(F.struct("*")).alias("messages")).write.json(path)
+    return optional_fields(json_messages_scan(spark, path, T.StructType.fromDDL(_WIDE_SCHEMA)))
 
 
 # --- filters -----------------------------------------------------------------------
