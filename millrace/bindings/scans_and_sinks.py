@@ -383,7 +383,13 @@ FROM orders
 """)
 def _update_flag(spark: SparkSession, folder: str) -> DataFrame:
     orders, lineitem = tables(spark, folder, "orders", "lineitem")
-    queue = orders.select("o_orderkey", "o_orderstatus")
+    queue = orders.select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("o_year"))
+    path = scratch_path(spark, "queue")
+    sinks.replace_partitions(queue, path, ["o_year"])
     returned = lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    claimed = queue.where("o_orderstatus = 'O'").join(returned.distinct(), "o_orderkey", "left_semi")
-    return mark_claimed(queue, claimed, "o_orderkey", "o_orderstatus", "F")
+    claimed = settle(queue.where("o_orderstatus = 'O'").join(returned.distinct(), "o_orderkey", "left_semi").select("o_orderkey"), "claimed")
+    # Years without a claimed order keep their files.
+    return sinks.rewrite_touched(
+        spark, path, queue.schema, "o_year", claimed, {"o_orderkey": "o_orderkey"},
+        lambda rows: mark_claimed(rows, claimed, "o_orderkey", "o_orderstatus", "F"),
+    ).select("o_orderkey", "o_orderstatus")

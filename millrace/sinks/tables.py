@@ -3,10 +3,10 @@ except a plain append."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,6 +130,34 @@ def replace_in_buckets(
     return spark.read.schema(result.schema).parquet(path).drop(BUCKET)
 
 
+def rewrite_touched(
+    spark: SparkSession, path: str, schema: T.StructType, partition: str, changed: DataFrame, on: Mapping[str, str],
+    state: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Update or delete rows of a table partitioned by ``partition`` without touching other partitions' files.
+
+    ``changed`` has the keys whose rows change; ``on`` maps the table's columns to its own.
+    The partitions that hold such rows are found by a semi-join on the key columns alone;
+    only they are read, and ``state``, a function from rows to their new state, replaces
+    them in one commit of dynamic partition overwrite.  A partition that ``state`` leaves
+    empty is deleted after it.  Repeating the call gives the same table.
+    """
+    table = spark.read.schema(schema).parquet(path)
+    # At most one value per partition of the table; as literals they prune what is read.
+    touched = {r[0] for r in semi_join(table.select(*{partition, *on}), changed, on).select(partition).distinct().collect()}
+    if not touched:
+        return table
+    own = F.col(partition).isin([v for v in touched if v is not None])
+    old = table.where(own | F.col(partition).isNull() if None in touched else own)
+    written = Observation()
+    new = state(old).select(*schema.fieldNames()).observe(written, F.collect_set(partition).alias("left"))
+    # The old files go when the new ones are committed, so a repeated task finds them.
+    replace_partitions(new, path, [partition])
+    for value in touched - {None} - set(written.get["left"]):
+        _delete_folder(spark, f"{path}/{partition}={value}")
+    return spark.read.schema(schema).parquet(path)
+
+
 def gzip_csv_stage(df: DataFrame, path: str) -> DataFrame:
     """Stage as gzipped CSV with a header and read the staged files back."""
     (

@@ -117,6 +117,47 @@ def test_bucketed_batches(spark, rows):
     assert len(before & files()) >= 4
 
 
+def test_untouched_partitions_keep_their_files(spark, rows):
+    path = scratch_path(spark, "t")
+    schema = "id bigint, flag string, day int"
+    old = spark.range(60).select("id", F.lit("N").alias("flag"), (F.col("id") % 6).cast("int").alias("day"))
+    sinks.replace_partitions(old, path, ["day"])
+
+    def files():
+        found = spark.read.schema(schema).parquet(path).select("day", "_metadata.file_path", "_metadata.file_modification_time").distinct()
+        return {(r[0], r[1], r[2]) for r in found.collect()}
+
+    def written(before):
+        return {d for d, *_ in files() ^ before}
+
+    before, claimed = files(), spark.createDataFrame([(1,), (7,), (999,)], "key bigint")
+    keys = {"id": "key"}
+    for _ in range(2):
+        table = sinks.rewrite_touched(spark, path, old.schema, "day", claimed, keys, lambda df: state.mark_claimed(
+            df, claimed.withColumnRenamed("key", "id"), "id", "flag"))
+        assert rows(table.where("flag = 'Y'"), "id") == [(1,), (7,)] and table.count() == 60
+    assert written(before) == {1}
+    # Updates from another table, and deletes, one of which empties a partition.
+    before = files()
+    stage = spark.createDataFrame([(2, "X")], "id bigint, new string")
+    table = sinks.rewrite_touched(spark, path, old.schema, "day", stage, {"id": "id"}, lambda df: joins.update_from_join(df, stage, {"id": "id"}, {"flag": "new"}))
+    assert rows(table.where("flag = 'X'"), "id") == [(2,)] and written(before) == {2}
+    before = files()
+    doomed = spark.createDataFrame([(i,) for i in [3, 9, *range(4, 60, 6)]], "id bigint")
+    for _ in range(2):
+        table = sinks.rewrite_touched(spark, path, old.schema, "day", doomed, {"id": "id"}, lambda df: joins.anti_join(df, doomed, {"id": "id"}))
+        assert table.count() == 48 and table.where("day = 4").count() == 0
+    assert written(before) == {3, 4}
+    parent = spark.createDataFrame([(5,)], "k bigint")
+
+    def cascade(df):
+        return state.cascade_delete({"a": parent, "b": df}, "a", F.col("k") == 5, [state.Child("b", "a", {"id": "k"})])["b"]
+
+    before, expected = files(), rows(cascade(table))
+    table = sinks.rewrite_touched(spark, path, old.schema, "day", parent, {"id": "k"}, cascade)
+    assert written(before) == {5} and rows(table) == expected and len(expected) == 47
+
+
 def test_delete_batch_keeps_rows_without_batch(spark, rows):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "batch string")
     assert rows(state.delete_batch(df, "batch", "a")) == [("b",), (None,)]

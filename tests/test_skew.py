@@ -29,10 +29,21 @@ def brute_ranks(rows):
 
 @pytest.mark.parametrize("parts", [1, 3, 16])
 def test_numbers_within_groups(hot, parts):
-    got = windows.dense_row_number(hot.repartition(parts), ["k"], [F.col("v").desc()])
+    got = windows.dense_row_number(hot.repartition(parts), ["k"], [F.col("v").desc()], heavy=1000)
     assert {(r["k"], r["id"]): r["rn"] for r in got.collect()} == brute_ranks(hot.collect())
 
 
+@pytest.mark.parametrize("heavy", [10**9, 10_000, 10, 0])
+def test_heavy_and_light_groups_get_the_same_numbers(hot, heavy):
+    got = windows.dense_row_number(hot, ["k"], [F.col("v").desc()], heavy=heavy)
+    assert {(r["k"], r["id"]): r["rn"] for r in got.collect()} == brute_ranks(hot.collect())
+    assert len(windows.heavy_groups(hot, ["k"], heavy)) == {10**9: 0, 10_000: 1, 10: 1001, 0: 1001}[heavy]
+
+
+def test_light_groups_take_one_shuffle(hot):
+    assert plan(windows.dense_row_number(hot, ["k"], [F.col("v").desc()])).count("Exchange") == 1
+
+
 def test_numbers_over_the_whole_table(hot):
     got = windows.surrogate_keys(hot, [F.col("v")], "key", offset=1000)
     assert {r["v"]: r["key"] for r in got.collect()} == {v: 1001 + v for v in range(N)}
@@ -46,8 +57,10 @@ def test_numbers_continue_after_existing(hot):
 
 def test_null_groups_are_numbered(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "k string, v int")
-    got = windows.dense_row_number(df, ["k"], [F.col("v")])
-    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(None, 1, 1), (None, 2, 2), ("a", 1, 1)], key=repr)
+    for heavy in (0, 10):
+        got = windows.dense_row_number(df, ["k"], [F.col("v")], heavy=heavy)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted([(None, 1, 1), (None, 2, 2), ("a", 1, 1)], key=repr)
+    assert windows.dense_row_number(df.where("false"), ["k"], [F.col("v")]).collect() == []
 
 
 def test_empty_table_is_numbered(spark):
