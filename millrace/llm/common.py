@@ -18,7 +18,11 @@ SALTS = 16
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The library's SQL settings, and small batches for Python workers."""
+    """The library's SQL settings, and small batches for Python workers.
+
+    Both hold for the whole session from then on, as frames are run after the operators
+    have returned them: give jobs with other needs a session of their own (``newSession``).
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return tune(spark)

@@ -19,7 +19,8 @@ KINDS = ("email", "ip", "card", "phone")
 # The patterns of the identifiers.
 _HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# Tried from the first digit of a run only, and without giving digits back: the same matches, in linear time.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -38,12 +39,14 @@ _ENDS = "|".join(TOP_LEVEL)
 _PROSE, _SURE = "the|a|an|each|every|this|that", "com|org|net|edu|gov|mil|info|biz|io|co|uk|de|fr|es|eu|ch|jp|ca|au|example|test"
 _DISGUISE = re.compile(
     # bracketed at and dot, with the space around them; a run of space is tried from its start only
-    r"(?P<at>(?:(?<!\s)\s+)?(?:\[\s*at\s*\]|\(\s*at\s*\)|\{\s*at\s*\}|<\s*at\s*>)\s*"
+    r"(?P<at>(?:(?<!\s)\s+)?(?:\[\s*(?:at|@)\s*\]|\(\s*(?:at|@)\s*\)|\{\s*(?:at|@)\s*\}|<\s*(?:at|@)\s*>)\s*"
+    # the sign as an entity
+    r"|&\#0*64;|&commat;"
     # a plain at before a host with spelled or bracketed dots and a top-level domain
-    rf"|(?<!\x20)\x20+at\x20+(?!(?:{_PROSE})\x20+dot\x20+(?!(?:{_SURE})\b)[a-z0-9-]+(?![a-z0-9-])(?!\x20+dot\x20|\s*[\[({{<]\s*dot))"
-    r"(?=[a-z0-9-]+(?:(?:\x20+dot\x20+|\s*[\[({<]\s*dot\s*[\])}>]\s*)[a-z0-9-]+)*?"
-    rf"(?:\x20+dot\x20+|\s*[\[({{<]\s*dot\s*[\])}}>]\s*)(?:{_ENDS})\b))"
-    r"|(?P<dot>(?:(?<!\s)\s+)?(?:\[\s*dot\s*\]|\(\s*dot\s*\)|\{\s*dot\s*\}|<\s*dot\s*>)\s*|(?<=[a-z0-9])\x20+dot\x20+(?=[a-z0-9]))"
+    rf"|(?<!\x20)\x20+at\x20+(?!(?:{_PROSE})\x20+dot\x20+(?!(?:{_SURE})\b)[a-z0-9-]+(?![a-z0-9-])(?!\x20+dot\x20|\s*[\[({{<]\s*(?:dot|\.)))"
+    r"(?=[a-z0-9-]+(?:(?:\x20+dot\x20+|\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*)[a-z0-9-]+)*?"
+    rf"(?:\x20+dot\x20+|\s*[\[({{<]\s*(?:dot|\.)\s*[\])}}>]\s*)(?:{_ENDS})\b))"
+    r"|(?P<dot>(?:(?<!\s)\s+)?(?:\[\s*(?:dot|\.)\s*\]|\(\s*(?:dot|\.)\s*\)|\{\s*(?:dot|\.)\s*\}|<\s*(?:dot|\.)\s*>)\s*|&\#0*46;|(?<=[a-z0-9])\x20+dot\x20+(?=[a-z0-9]))"
     # a plus sign spelled before a digit
     rf"|(?P<plus>\bplus\x20+(?=(?:{_DIGIT}|[0-9])))"
     # runs of spelled digits
@@ -52,7 +55,7 @@ _DISGUISE = re.compile(
 )
 _SPELLED = re.compile(_DIGIT, re.IGNORECASE)
 #: Every match of ``_DISGUISE`` holds one of these, or stands beside one: texts without any have no spelled disguise.
-_HINT = re.compile(rf"[\[({{<]\s*(?:at|dot)|\x20dot\x20|\bplus\x20+[0-9]|\b(?:{_DIGIT})", re.IGNORECASE | re.ASCII)
+_HINT = re.compile(rf"[\[({{<]\s*(?:at|dot|@|\.)|&(?:\#0*(?:64|46)|commat);|\x20dot\x20|\bplus\x20+[0-9]|\b(?:{_DIGIT})", re.IGNORECASE | re.ASCII)
 
 
 @lru_cache(maxsize=4096)

@@ -40,9 +40,26 @@ def _even(text: str) -> bool:
     return not any(c in text for c in _RARE_ASCII) if text.isascii() else not _RARE.search(text)
 
 
+# Fixed value: the pattern of the word-level file.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cut_at_spaces(config: dict) -> bool:
+    """Is a tokenizer file of one of the two kinds whose texts may be cut before single spaces?"""
+    normal, pre = config.get("normalizer"), config.get("pre_tokenizer") or {}
+    if config["model"].get("type") != "BPE":
+        return False
+    if normal is None:
+        return pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+    steps, parts = [n.get("type") for n in normal.get("normalizers", [])], pre.get("pretokenizers", [])
+    return steps == ["NFC", "Replace", "Lowercase"] and [p.get("type") for p in parts] == ["Split", "ByteLevel"] and (
+        parts[0]["pattern"].get("Regex") == WORD_PATTERN and parts[0].get("invert") and not parts[1].get("use_regex", True))
+
+
 class WordTokenizer:
     """Ids of whole texts, equal to encoding each text at once.
 
+    The texts of files of other kinds than the two of ``cut_at_spaces`` are encoded whole.
     Both public BPE files never merge across a space that stands between two other
     characters, and their patterns look no further back than it; so a text may be cut
     before such spaces and the ids of its pieces put together.  Most pieces are frequent
@@ -64,7 +81,11 @@ class WordTokenizer:
         self._letters = byte_letters()
         #: The merges alone, for parts that are one word to the pattern.
         self._merger: PairMerger | None = None
-        self._own_merges(path)
+        with open(path, encoding="utf-8") as file:
+            config = json.load(file)
+        self._cuts = cut_at_spaces(config)
+        if self._cuts:
+            self._own_merges(config["model"])
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._drops_space = not self._tokenizer.encode(" ", add_special_tokens=False).ids
         self._end, self._limit = end, limit
@@ -129,10 +150,8 @@ class WordTokenizer:
         sizes, ids = self._merger.merge(symbols, sizes)
         self._add(keys, sizes, ids)
 
-    def _own_merges(self, path: str) -> None:
-        """The merges of a byte-level file, if it has nothing but merges to make of a word."""
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+    def _own_merges(self, model: dict) -> None:
+        """The merges of a byte-level model, if it has nothing but merges to make of a word."""
         plain = not any(model.get(k) for k in ("ignore_merges", "dropout", "continuing_subword_prefix", "byte_fallback"))
         letters, vocab, end = {b: self._letters.get(b, chr(b)) for b in range(256)}, model["vocab"], model.get("end_of_word_suffix") or ""
         if not plain or not all(letters[b] in vocab and letters[b] + end in vocab for b in range(256)):
@@ -194,6 +213,11 @@ class WordTokenizer:
 
     def encode(self, texts: Iterable[str | None], led: bool = False) -> Iterator[np.ndarray]:
         """The ids of each text (null: empty), the end id last; ``led``: of a space and the text."""
+        if not self._cuts:
+            for text in texts:
+                ids = self._tokenizer.encode((" " if led else "") + (text or ""), add_special_tokens=False).ids
+                yield np.array([*ids, self._end], dtype=np.uint32)
+            return
         if len(self._code) > self._limit or self._used > 16 * self._limit:
             self._shrink()
         keys: list[object] = []

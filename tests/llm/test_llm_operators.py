@@ -1,8 +1,10 @@
 """Each operator against a brute-force version on rows with every kind of oddity."""
 
 import hashlib
+import json
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm import exact, line_windows, mixing, neighbours, packing, pii, quality, sharding, simhash, token_files
+from millrace.llm import exact, line_windows, mixing, neighbours, packing, pii, quality, sharding, simhash, token_files, words
 from millrace.llm.queries import QUERIES
 from millrace.llm.words import WordTokenizer
 
@@ -147,6 +149,29 @@ def test_words_encode_like_whole_texts(both_ways, text):
     assert [list(x) for x in words.encode([text, None, "a  b " + text])] == [whole(text), whole(None), whole("a  b " + text)]
 
 
+def test_texts_of_other_files_are_encoded_whole(tmp_path):
+    """A file with another pattern gives the library's ids, too."""
+    config = json.load(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))
+    config["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": False}
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(config, file)
+    library = Tokenizer.from_file(path)
+    for text in ("one two  three", " x", "", "a b"):
+        assert next(iter(WordTokenizer(path, 0).encode([text]))).tolist() == [*library.encode(text, add_special_tokens=False).ids, 0]
+    assert not words.cut_at_spaces(config)
+
+
+def test_words_merge_like_the_model():
+    """Words of every length, side by side and alone."""
+    rng = random.Random(7)
+    for name, end in FILES.items():
+        own, whole = WordTokenizer(public_tokenizers.path(name), end), coder(name)
+        assert own._merger is not None
+        text = " ".join("".join(rng.choice("aeinrstlßéA.,\n") for _ in range(n)) for n in [*range(1, 60), 300, 5000] * 5)
+        assert next(iter(own.encode([text]))).tolist() == whole(text)
+
+
 def test_word_cache_starts_anew(odd_rows):
     name = "byte_bpe_50k.json"
     small, whole = WordTokenizer(public_tokenizers.path(name), 0, limit=50), coder(name)
@@ -552,6 +577,38 @@ def test_pack(odd, odd_rows):
     assert len(windows) <= np.ceil(sum(r["length"] for r in out) / 64) * 1.05 + 1
 
 
+def test_op8(spark):
+    """The registered query against the library: every id in one piece, sequences full from 0, little padding."""
+    whole = coder("byte_bpe_50k.json")
+    documents = {r["doc_id"]: whole(r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    out = QUERIES["op8_pack"](spark, "/root/testdata/sf0.001").collect()
+    reached, sequences = Counter(), defaultdict(list)
+    for r in sorted(out, key=lambda r: (r["doc_id"], r["start"])):
+        ids = documents[r["doc_id"]]
+        assert r["start"] == reached[r["doc_id"]] and r["doc_tokens"] == len(ids)
+        piece = np.array(ids[r["start"]:r["start"] + r["length"]], dtype="<u4").tobytes()
+        assert r["ids_crc32"] == zlib.crc32(piece)
+        reached[r["doc_id"]] += r["length"]
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert reached == Counter({i: len(ids) for i, ids in documents.items()}) and sorted(sequences) == list(range(len(sequences)))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    lengths = [r["length"] for r in out]
+    # Best fit decreasing, one piece at a time.
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        fits = [r for r in rooms if r >= n]
+        room = min(fits) if fits else 1024
+        if fits:
+            rooms.remove(room)
+        rooms.append(room - n)
+    assert len(sequences) == len(rooms)
+
+
 def test_pack_of_nothing_and_clashes(empty, spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     assert packing.pack(packing.token_pieces(empty, path, 0, 64), "length", 64, ["doc_id"]).count() == 0
@@ -632,6 +689,44 @@ def test_spelled_among_numerals(text, span):
         assert [(text + beside)[a:b] for a, b in added["phone"]] == [span] and not base["phone"]
 
 
+def test_long_digit_runs_are_read_once():
+    before = time.perf_counter()
+    for text in ("7" * 1_000_000, "1." * 300_000, "12345" * 100_000 + ".1.2.3"):
+        pii.find(text)
+    assert time.perf_counter() - before < 30
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="0123.a ", max_size=40))
+def test_addresses_are_those_of_the_plain_pattern(text):
+    plain = [m.span() for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)]
+    assert [m.span() for m in pii._IP.finditer(text)] == plain
+
+
+def disguised(rng, identifier):
+    """An identifier with some of its signs disguised."""
+    at = rng.choice(["[at]", " (at) ", "[@]", "&#64;", " {at} ", "<@>", "@"])
+    dot = rng.choice(["[dot]", " (dot) ", "[.]", "&#46;", "{.}", ".", " [ . ] "])
+    letters = {"a": "а", "e": "е", "o": "о", "p": "р", "c": "с", "1": "１", "5": "５"}
+    out = "".join(at if c == "@" else dot if c == "." else letters[c] if c in letters and rng.random() < 0.2 else c for c in identifier)
+    return out if out != identifier else out.replace("@", "[at]").replace(".", "[dot]")
+
+
+def test_generated_disguises_are_found():
+    rng = random.Random(5)
+    found = {"email": 0, "ip": 0}
+    for _ in range(400):
+        name, host = ("".join(rng.choice("abcdeopxyz") for _ in range(rng.randint(3, 9))) for _ in range(2))
+        mail = f"{name}@{host}.{rng.choice(['com', 'org', 'nl'])}"
+        address = ".".join(str(rng.randint(1, 255)) for _ in range(4))
+        for kind, identifier in (("email", mail), ("ip", address)):
+            text = disguised(rng, identifier)
+            base, added = pii.find(f"write to {text} now")
+            found[kind] += any(a <= 9 and b >= 9 + len(text) for a, b in base[kind] + added[kind])
+    print("found", found)
+    assert min(found.values()) >= 380
+
+
 def test_long_space_is_read_once():
     text = " " * 300_000 + "one jo [at]" + " " * 300_000 + "x [dot] org"
     assert [text[a:b] for a, b in pii.find(text)[1]["email"]] == [text[text.index("jo"):]]
