@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.session import tune
@@ -13,8 +13,20 @@ from millrace.session import tune
 BATCH_ROWS = 256
 BATCH_BYTES = 4 << 20
 
-#: Sub-groups that ``numbered`` cuts each group into.
-SALTS = 16
+#: Sub-groups that ``numbered`` cuts each group into, and rows from which on one of them is too large for a task.
+SALTS, SALT_ROWS = 16, 1_000_000
+
+
+def salts_by_count(counts: Mapping[int | str, int], key: Column) -> Column:
+    """How many sub-groups a group gets: ``SALTS``, and more where that would leave over ``SALT_ROWS`` in each.
+
+    Only the groups that need more are part of the plan, one for each 16 million rows at most.
+    """
+    heavy = {k: -(-n // SALT_ROWS) for k, n in counts.items() if n > SALTS * SALT_ROWS}
+    if not heavy:
+        return F.lit(SALTS)
+    entries = F.create_map(*[F.lit(x) for pair in heavy.items() for x in pair])
+    return F.coalesce(F.try_element_at(entries, key), F.lit(SALTS))
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -53,18 +65,18 @@ class Sealed:
 
 def numbered(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str,
-    extra: DataFrame | None = None, salts: int = SALTS,
+    extra: DataFrame | None = None, salts: Column | None = None,
 ) -> DataFrame:
     """Rows numbered from 0 within their group, where one group may hold most of the rows.
 
-    Each group is cut into ``salts`` sub-groups by a hash of ``order``; a window numbers
+    Each group is cut into ``salts`` sub-groups (``salts_by_count``) by a hash of ``order``; a window numbers
     the rows of a sub-group and the counts of the sub-groups before it (combined on the
     map side) are added.  The order within a group is therefore (salt, ``order``):
     arbitrary but fixed.  Rows that tie on all of ``order`` may swap numbers, so list
     enough columns to tell different rows apart.  ``keys`` must not be null.  Columns of
     ``extra`` (one row per group, keyed by ``keys``) come along with the counts.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS) if salts is None else salts).cast("int"))
     group = [*keys, "_salt"]
     before = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = salted.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).select(

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Sealed, numbered
+from millrace.llm.common import SALT_ROWS, SALTS, Sealed, numbered, salts_by_count
 
 #: The rest of a budget that is fitted by ``nearest_sum`` at first; what is above it is filled in the seeded order of the lengths.
 EXACT_BUDGET = 1 << 14
@@ -160,7 +160,11 @@ def mix(
         "_size": F.col(size).cast("long"), "_seeded": F.xxhash64(F.lit(seed), *tie),
     })
     counted = rows.groupBy("_source", "_size").agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r["_source"]: int(r["s"]) for r in counted.groupBy("_source").agg(F.sum(F.col("_size") * F.col("n")).alias("s")).collect()}
+    # With the sizes come the lengths that most rows of a source share: one for each 16 million rows at most.
+    heavy = F.collect_list(F.when(F.col("n") > SALTS * SALT_ROWS, F.struct("_size", "n")))
+    held = counted.groupBy("_source").agg(F.sum(F.col("_size") * F.col("n")).alias("s"), heavy.alias("h")).collect()
+    sizes = {r["_source"]: int(r["s"]) for r in held}
+    large = {f"{h['_size']}{r['_source']}": h["n"] for r in held for h in r["h"]}
     turn = {s: float(weights[i % len(weights)]) for i, s in enumerate(sorted(sizes))}
     goal = targets(sizes, turn, most)
     plan = {}
@@ -179,7 +183,8 @@ def mix(
         return frame[["_source", "_size"]].assign(_picks=picks)
 
     picks = counted.groupBy("_source").applyInPandas(fit, "_source string, _size long, _picks long")
-    ranked = numbered(rows, ["_source", "_size"], ["_seeded", *tie], "_rank", extra=picks)
+    ranked = numbered(rows, ["_source", "_size"], ["_seeded", *tie], "_rank", extra=picks,
+                      salts=salts_by_count(large, F.concat(F.col("_size").cast("string"), "_source")))
     # One row per source: its bound is the number of sources, which the driver has just held.
     out = ranked.join(F.broadcast(by_source), "_source").withColumn(
         "times", F.col("_full") + (F.col("_rank") < F.col("_picks")).cast("int")

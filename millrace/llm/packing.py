@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import Sealed, numbered
+from millrace.llm.common import Sealed, numbered, salts_by_count
 from millrace.llm.words import word_tokenizer
 
 
@@ -155,6 +155,6 @@ def pack(pieces: DataFrame, length: str, capacity: int, tie: Sequence[str]) -> D
     schema = T.StructType([
         *inner.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
     ])
-    ranked = numbered(checked, ["_length"], list(tie), "_rank")
+    ranked = numbered(checked, ["_length"], list(tie), "_rank", salts=salts_by_count(counts, F.col("_length")))
     placed = ranked.select(*inner.columns, "_length", "_rank").mapInArrow(look_up, schema)
     return sealed.open(placed, "sequence_id", "offset")

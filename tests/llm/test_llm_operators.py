@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm import exact, line_windows, mixing, neighbours, packing, pii, quality, sharding, simhash, token_files, words
+from millrace.llm import common, exact, line_windows, mixing, neighbours, packing, pii, quality, sharding, simhash, token_files, words
 from millrace.llm.queries import QUERIES
 from millrace.llm.words import WordTokenizer
 
@@ -470,6 +470,19 @@ def test_budgets_are_missed_only_by_what_nothing_reaches(items, budget):
     assert abs(budget - sum(int(p) * n for p, (n, _) in zip(picks, items, strict=True))) == min(abs(s - budget) for s in sums)
 
 
+def test_heavy_groups_get_more_salts(spark, monkeypatch):
+    """A group of most rows is cut by its count; its numbers stay gapless."""
+    monkeypatch.setattr(common, "SALT_ROWS", 10)
+    df = spark.range(5000).select(F.when(F.col("id") < 4000, 7).otherwise(F.col("id") % 50).alias("k"), "id")
+    counts = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
+    salts = common.salts_by_count(counts, F.col("k"))
+    got = defaultdict(list)
+    for r in common.numbered(df, ["k"], ["id"], "n", salts=salts).collect():
+        got[r["k"]].append(r["n"])
+    assert all(sorted(n) == list(range(counts[k])) for k, n in got.items()) and len(got) == len(counts)
+    assert {r["k"]: r["s"] for r in df.select("k", salts.alias("s")).distinct().collect()} == {k: 402 if k == 7 else 16 for k in counts}
+
+
 def test_few_long_documents():
     assert mixing.fit_budget(np.array([30_000, 49_999]), np.array([1, 1]), 50_000, 7).tolist() == [0, 1]
     assert mixing.fit_budget(np.array([1000]), np.array([1]), 900, 7).tolist() == [1]
