@@ -20,7 +20,7 @@ BLOCK_DOCS = 1 << 12
 SAMPLE = 64
 
 BLOCK_SCHEMA = (
-    "part int, block int, base long, doc_ids array<long>, n_ids long, width int, ids binary, "
+    "part int, block int, base long, first_id long, last_id long, doc_ids array<long>, n_ids long, width int, ids binary, "
     "low_bits int, low binary, high binary, samples binary"
 )
 
@@ -89,7 +89,7 @@ def write_ids(
 
     The table is range-partitioned by id; each task encodes its range and cuts it into
     blocks.  A block is one row: the concatenated ids as little-endian integers of 2 or 4
-    bytes, the document ids, and the n + 1 document boundaries within the block as an
+    bytes, the document ids with the first and last of them, and the n + 1 document boundaries within the block as an
     ``EliasFano`` sequence.  Offsets of 64 bits exist once per block only (``base``: ids of
     the part before it).  Rows are stored by Spark's own writer as Parquet, so a lost task
     leaves nothing behind and any store will do.  Null texts count as empty; a long text
@@ -107,7 +107,8 @@ def write_ids(
             ef = EliasFano.of(ends)
             ids = np.concatenate(parts).astype(f"<u{coder.width}").tobytes()
             row = pa.RecordBatch.from_pylist([{
-                "part": part, "block": block, "base": base, "doc_ids": names, "n_ids": size, "width": coder.width,
+                "part": part, "block": block, "base": base, "first_id": next((n for n in names if n is not None), None),
+                "last_id": names[-1], "doc_ids": names, "n_ids": size, "width": coder.width,
                 "ids": ids, "low_bits": ef.low_bits, "low": ef.low, "high": ef.high, "samples": ef.samples,
             }], schema=_BLOCK)
             block, base, size, names, parts = block + 1, base + size, 0, [], []
@@ -132,7 +133,7 @@ def write_ids(
 
 
 _BLOCK = pa.schema([
-    ("part", pa.int32()), ("block", pa.int32()), ("base", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+    ("part", pa.int32()), ("block", pa.int32()), ("base", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
     ("n_ids", pa.int64()), ("width", pa.int32()), ("ids", pa.binary()), ("low_bits", pa.int32()),
     ("low", pa.binary()), ("high", pa.binary()), ("samples", pa.binary()),
 ])
@@ -168,8 +169,13 @@ def read_ids(spark: SparkSession, path: str, id: str = "doc_id") -> DataFrame:
 
 
 def read_document(spark: SparkSession, path: str, id: int) -> np.ndarray | None:
-    """The ids of one document, found through the select structure; None if it is not there."""
-    row = spark.read.schema(BLOCK_SCHEMA).parquet(path).where(F.array_contains("doc_ids", F.lit(id).cast("long"))).first()
+    """The ids of one document, found through the select structure; None if it is not there.
+
+    Blocks are sorted by id, so the reader passes over all but those whose bounds hold it.
+    """
+    wanted = F.lit(id).cast("long")
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path).where((F.col("first_id") <= wanted) & (F.col("last_id") >= wanted))
+    row = blocks.where(F.array_contains("doc_ids", wanted)).first()
     if row is None:
         return None
     at = row["doc_ids"].index(id)

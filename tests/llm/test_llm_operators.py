@@ -77,6 +77,15 @@ def test_a_shard_more_moves_few(spark):
     assert sum(a[k] != b[k] for k in a) < 0.25 * len(a)
 
 
+def test_few_keys_move_with_the_registered_setting(spark):
+    """Counts at most one apart, 40 and 41 shards: 1 in 41 keys must move, few more do."""
+    keys = spark.range(60_000).select(F.xxhash64("id").alias("doc_id"))
+    a, b = ({r["doc_id"]: r["shard"] for r in sharding.ring_shards(keys, "doc_id", n).collect()} for n in (40, 41))
+    moved = sum(a[k] != b[k] for k in a) / len(a)
+    print("moved", moved)
+    assert 1 / 41 <= moved + 0.001 and moved < 0.08
+
+
 def test_shards_of_nothing_and_clashes(empty, clashing):
     assert sharding.ring_shards(empty, "doc_id", 4).count() == 0
     out = sharding.ring_shards(clashing, "doc_id", 4, tie=["text"])
@@ -202,6 +211,8 @@ def test_token_files(spark, odd, odd_rows, tmp_path):
     ordered = [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])]
     assert ordered == sorted(ordered, key=lambda i: (i is not None, i or 0))
     assert list(token_files.read_document(spark, path, 7)) == whole(odd_rows[7][1])
+    plan = spark.read.schema(token_files.BLOCK_SCHEMA).parquet(path).where("first_id <= 7 AND last_id >= 7")._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(first_id,7)" in plan
     assert token_files.read_document(spark, path, 10**9) is None
 
 
