@@ -10,6 +10,7 @@ from millrace.bindings.registry import EXACT, query, table
 from millrace.bindings.scans_and_sinks import scan_raw_messages
 from millrace.functions import cleansing, dates, text
 from millrace.functions.durations import iso_duration_seconds
+from millrace.operators.codes import filter_contains_any, strip_all_values_by_index, strip_last_tag_by_index
 from millrace.operators.joins import coalesce_identity
 from millrace.operators.lists import explode_delimited, mention_lists, zip_recipients
 
@@ -251,6 +252,38 @@ def _strip_all_values(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _code_table(spark: SparkSession, codes: list[str]) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(codes)), "position int, code string")
+
+
+@query("strip_last_tag_by_index", _fold_sql(TAGS, "ltrim", "'{code}'")
+       + " SELECT p_partkey, t AS msg_txt, found AS tag FROM f4")
+def _strip_last_tag_by_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the dictionary in a table, as thousands of codes need it."""
+    rows = strip_last_tag_by_index(_part_text(spark, folder), "t", _code_table(spark, TAGS))
+    return rows.select("p_partkey", F.col("f.text").alias("msg_txt"), F.col("f.tag").alias("tag"))
+
+
+@query("strip_all_values_by_index", _fold_sql(VALUES, "rtrim", "concat('{code}|', found)")
+       + " SELECT p_partkey, t AS msg_txt, found AS value_cd FROM f4")
+def _strip_all_values_by_index(spark: SparkSession, folder: str) -> DataFrame:
+    rows = strip_all_values_by_index(_part_text(spark, folder), "t", _code_table(spark, VALUES))
+    return rows.select(
+        "p_partkey", F.col("f.text").alias("msg_txt"), text.reversed_pipe_list(F.col("f.values")).alias("value_cd")
+    )
+
+
+@query("filter_contains_any", """
+SELECT c_custkey, c_name FROM customer
+WHERE EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 3 = 0 AND contains(c_name, right(s_name, 4)))
+""")
+def _filter_contains_any(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers whose name holds any of the codes of a table."""
+    codes = table(spark, folder, "supplier").where("s_suppkey % 3 = 0").select(
+        F.col("s_suppkey").alias("position"), F.expr("right(s_name, 4)").alias("code"))
+    return filter_contains_any(table(spark, folder, "customer").select("c_custkey", "c_name"), "c_name", codes)
+
+
 # --- composed messages ----------------------------------------------------------------
 
 _GROUPED_SQL = """

@@ -20,7 +20,7 @@ def fold(text, codes, trim):
 @pytest.fixture(scope="module")
 def dictionary():
     rng = random.Random(3)
-    codes = {"".join(rng.choice("abcd:") for _ in range(rng.randint(1, 9))) for _ in range(5600)}
+    codes = {"".join(rng.choice("abcd:") for _ in range(rng.randint(1, 9))) for _ in range(9500)}
     codes = [c for c in sorted(codes, key=lambda c: rng.random()) if len(c) > 3 or rng.random() < 0.2]
     assert len(codes) > 4500
     # Codes that come together only when others are cut out, one of them twice over.
