@@ -50,10 +50,12 @@ def registered_tables(spark: SparkSession, database: str | None = None) -> list[
 
 
 def _longest(spark: SparkSession, table: str, column: str) -> int | None:
-    """The longest value of a text column by the catalog's statistics; None if there are none."""
+    """The longest value of a text column by the catalog's statistics; None if there are none, or no value."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_quoted(column)}").collect()
-    found = {r["info_name"]: r["info_value"] for r in rows}.get("max_col_len")
-    return int(found) if found not in (None, "NULL") else None
+    found = {r["info_name"]: r["info_value"] for r in rows}
+    longest = found.get("max_col_len")
+    # Without a value Spark puts the default size of the type there.
+    return int(longest) if longest not in (None, "NULL") and found.get("distinct_count") != "0" else None
 
 
 def _full(name: str, database: str | None) -> str:
