@@ -117,9 +117,9 @@ def _catalog_scan(spark: SparkSession, folder: str) -> DataFrame:
     return measured(spark, folder)
 
 
-@query("standardise_type", f"WITH {SOURCE_SQL} SELECT table_name, column_name, {_CANONICAL} AS type, size FROM source")
+@query("standardise_type", f"WITH {MEASURED_SQL} SELECT table_name, column_name, {_CANONICAL} AS type, size FROM source")
 def _standardise_type(spark: SparkSession, folder: str) -> DataFrame:
-    return meta.standardise_types(declared(spark, folder)).select("table_name", "column_name", "type", "size")
+    return meta.standardise_types(measured(spark, folder)).select("table_name", "column_name", "type", "size")
 
 
 _DDL_SQL = """

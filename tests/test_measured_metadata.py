@@ -34,3 +34,10 @@ def test_catalog_scan_measures_every_text(spark, folder):
     for name in TABLES:
         for column, size in text_sizes(name).items():
             assert found[name, column] == ("NVARCHAR", size)
+
+
+def test_standardise_type_keeps_measured_sizes(spark, folder):
+    found = {(r["table_name"], r["column_name"]): (r["type"], r["size"]) for r in queries()["standardise_type"](spark, folder).collect()}
+    for name in TABLES:
+        for column, size in text_sizes(name).items():
+            assert found[name, column] == ("VARCHAR", size)
