@@ -124,17 +124,17 @@ def _standardise_type(spark: SparkSession, folder: str) -> DataFrame:
 
 _DDL_SQL = """
 CASE WHEN type IN ('DATETIME', 'INTEGER', 'FLOAT') THEN concat('[', column_name, '] ', type)
-     WHEN type = 'VARCHAR' THEN concat('[', column_name, '] VARCHAR(', coalesce(CAST(size AS VARCHAR), 'MAX'), ')')
+     WHEN type = 'VARCHAR' THEN concat('[', column_name, '] VARCHAR(', size, ')')
      ELSE concat('*** Unknown data type **** [', column_name, '] ', type) END
 """
 
 
 @query("ddl_report", f"""
-WITH {SOURCE_SQL}, canonical AS (SELECT * REPLACE ({_CANONICAL} AS type) FROM source)
+WITH {MEASURED_SQL}, canonical AS (SELECT * REPLACE ({_CANONICAL} AS type) FROM source)
 SELECT table_name, string_agg({_DDL_SQL}, chr(10) || ',' ORDER BY position) AS ddl FROM canonical GROUP BY table_name
 """)
 def _ddl_report(spark: SparkSession, folder: str) -> DataFrame:
-    return meta.ddl_report(meta.standardise_types(declared(spark, folder)))
+    return meta.ddl_report(meta.standardise_types(measured(spark, folder)))
 
 
 @query("build_column_list", f"""

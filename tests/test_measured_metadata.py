@@ -41,3 +41,11 @@ def test_standardise_type_keeps_measured_sizes(spark, folder):
     for name in TABLES:
         for column, size in text_sizes(name).items():
             assert found[name, column] == ("VARCHAR", size)
+
+
+def test_ddl_report_has_measured_sizes(spark, folder):
+    found = {r["table_name"]: r["ddl"] for r in queries()["ddl_report"](spark, folder).collect()}
+    assert set(found) == set(TABLES)
+    for name in TABLES:
+        for column, size in text_sizes(name).items():
+            assert f"[{column}] VARCHAR({size})" in found[name]
