@@ -149,7 +149,7 @@ def _build_column_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("exclude_pii_columns", f"""
-WITH {SOURCE_SQL}
+WITH {MEASURED_SQL}
 SELECT table_name, column_name, size FROM source
 WHERE column_name NOT IN ('c_acctbal', 's_acctbal', 'props')
   AND NOT (column_name = 'text' AND table_name IN ('conversations', 'documents'))
@@ -159,7 +159,7 @@ def _exclude_pii_columns(spark: SparkSession, folder: str) -> DataFrame:
         [(None, "c_acctbal"), (None, "s_acctbal"), (None, "props"), ("conversations", "text"), ("documents", "text")],
         "table_name string, column_name string",
     )
-    return exclude_private_columns(declared(spark, folder), rules).select("table_name", "column_name", "size")
+    return exclude_private_columns(measured(spark, folder), rules).select("table_name", "column_name", "size")
 
 
 # The altered copy: one table and some columns gone, one type widened, one changed,

@@ -49,3 +49,12 @@ def test_ddl_report_has_measured_sizes(spark, folder):
     for name in TABLES:
         for column, size in text_sizes(name).items():
             assert f"[{column}] VARCHAR({size})" in found[name]
+
+
+def test_exclude_pii_columns_has_measured_sizes(spark, folder):
+    found = {(r["table_name"], r["column_name"]): r["size"] for r in queries()["exclude_pii_columns"](spark, folder).collect()}
+    private = {("events", "props"), ("documents", "text"), ("conversations", "text")}
+    assert not private & set(found)
+    for name in TABLES:
+        for column, size in text_sizes(name).items():
+            assert (name, column) in private or found[name, column] == size
