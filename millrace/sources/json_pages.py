@@ -67,8 +67,8 @@ def json_items(
     several = F.coalesce(F.try_variant_get("_v", "$", "array<variant>"), F.array("_v"))
     pages = parsed.select("file_name", "value", F.explode(several).alias("_page")).withColumns({
         "_object": F.try_variant_get("_page", "$", f"struct<{_name(field)}: variant>"),
-    }).withColumn("_list", F.col("_object")[field])
-    items = F.try_variant_get("_list", "$", "array<variant>")
+    }).withColumn("_list", F.col("_object")[field]).withColumn("_items", F.try_variant_get("_list", "$", "array<variant>"))
+    items = F.col("_items")
     broken = F.when(F.col("_page").isNull(), NO_JSON).when(F.col("_object").isNull(), NO_OBJECT).when(
         F.col("_list").isNotNull() & ~F.is_variant_null("_list") & items.isNull(), NO_LIST)
     # A broken page is one record without a position.
@@ -83,10 +83,11 @@ def json_items(
     judged = rows.withColumn("reason", F.coalesce("_broken", F.when(F.col("_fields").isNull(), NO_OBJECT).when(
         F.size(wrong) > 0, F.array_join(wrong, ", "))))
     good = F.col("reason").isNull()
-    return judged.select(
+    # Made as one row by a generator, which a filter on the reason stays above: else Spark judges every record again for it.
+    return judged.select(F.inline(F.array(F.struct(
         "file_name", "position", F.when(good, F.try_variant_get("v", "$", item.simpleString())).alias("item"),
         F.when(~good, F.coalesce(F.to_json("v"), "value")).alias("record"), "reason",
-    )
+    ))))
 
 
 def split_items(items: DataFrame) -> tuple[DataFrame, DataFrame]:
