@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from millrace.bindings.inputs import raw_messages
-from millrace.bindings.scans_and_sinks import write_raw_messages
+from millrace.bindings.scans_and_sinks import write_plans, write_raw_messages
 from millrace.session import scratch_path, spread
 from millrace.sources.json_pages import json_items, split_items
 
@@ -44,3 +45,24 @@ def test_records_are_judged_once(spark, rows):
     plan = good._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter" in line and "reason" in line]
     assert len(filters) == 1 and "variant" not in filters[0]
+
+
+def orders_of_one_file(spark, first, n):
+    return one_file(spark, "orders", spark.range(first, first + n).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "1.0D AS o_totalprice",
+        "TIMESTAMP_NTZ '2024-01-02 00:00:00' AS o_orderdate", "if(id % 5 = 0, '5-LOW', '1-URGENT') AS o_orderpriority"))
+
+
+def test_documents_of_one_file_are_written_by_many_tasks(spark):
+    written = spark.read.text(write_plans(spark, orders_of_one_file(spark, 1, 1000)))
+    assert written.count() == 1000 and len(written.inputFiles()) > 8
+
+
+def test_large_order_numbers_keep_their_damage(spark):
+    first = (1 << 24) + 5
+    found = queries()["xml_hierarchy_scan"](spark, orders_of_one_file(spark, first, 500)).groupBy("reason").count().collect()
+    keys = range(first, first + 500)
+    no_xml = [k for k in keys if k % 89 == 7]
+    invalid = [k for k in keys if k % 97 == 11 and k % 89 != 7]
+    assert {r["reason"]: r["count"] for r in found} == {
+        None: 500 - len(no_xml) - len(invalid), "no XML": len(no_xml), "violates the schema": len(invalid)}
