@@ -162,9 +162,9 @@ def planted(docs: DataFrame) -> DataFrame:
     """``docs`` with a run of words planted in every tenth text, by the hash of its id (contract of ``op13_runs``)."""
     found = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
     h = F.crc32(F.col("doc_id").cast("string"))
-    # In a step of its own, so that the words are found once.
+    # In a step of its own, so that the words are found once; it is worked out for texts without words, too.
     numbers = docs.select("doc_id", "text", h.alias("h"), words("text").alias("n")).select(
-        "doc_id", "text", "h", "n", F.floor(F.col("h") / 10).alias("g")).withColumn("a", F.expr("g % n"))
+        "doc_id", "text", "h", "n", F.floor(F.col("h") / 10).alias("g")).withColumn("a", F.expr("g % greatest(n, 1)"))
     period = F.expr("cast(1 + floor((n - a) / (3 + g % 8)) as int)")
     first, again = F.slice(found, 1, F.col("a").cast("int")), F.slice(found, (F.col("a") + 1).cast("int"), period)
     times = F.ceil((F.col("n") - F.col("a")) / period).cast("int")

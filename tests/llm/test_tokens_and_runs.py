@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 from millrace.llm import alignment, byte_bpe, periodic
 from millrace.llm.queries import QUERIES
 from millrace.llm.words import byte_letters
-from millrace.session import settle
+from millrace.session import scratch_path, settle
 
 FOLDER = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -307,3 +307,13 @@ def test_op13(spark, documents):
                     sha(brute_collapsed(words, runs).encode()))
         assert got[i] == expected, i
     assert some > 10
+
+
+def test_op13_of_texts_without_words(spark):
+    path = scratch_path(spark, "wordless")
+    texts = [None, "", "  \n\t", "a"] * 30
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    rows = QUERIES["op13_runs"](spark, path).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(120)) and any(zlib.crc32(str(i).encode()) % 10 == 0 for i in range(0, 120, 4))
+    for r in rows:
+        assert tuple(r)[1:] == (0, None, None, None, None, sha(b""), sha((texts[r["doc_id"]] or "").strip().encode()))
