@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from millrace.bindings import scans_and_sinks
 from millrace.bindings.inputs import raw_messages
 from millrace.bindings.scans_and_sinks import write_plans, write_raw_messages
 from millrace.session import scratch_path, spread
@@ -58,6 +59,16 @@ def test_documents_of_one_file_are_written_by_many_tasks(spark):
     assert written.count() == 1000 and len(written.inputFiles()) > 8
 
 
+def test_documents_are_compressed_in_files_of_bounded_size(spark, monkeypatch):
+    folder = orders_of_one_file(spark, 1, 2000)
+    whole = write_plans(spark, folder)
+    stored = spark.read.format("binaryFile").load(whole).agg(F.sum("length")).first()[0]
+    assert 5 * stored < spark.read.text(whole).agg(F.sum(F.octet_length("value"))).first()[0]
+    monkeypatch.setattr(scans_and_sinks, "PLAN_FILE_ROWS", 10)
+    written = spark.read.text(write_plans(spark, folder)).groupBy("_metadata.file_name").count().collect()
+    assert sum(r["count"] for r in written) == 2000 and max(r["count"] for r in written) == 10
+
+
 def test_large_order_numbers_keep_their_damage(spark):
     first = (1 << 24) + 5
     found = queries()["xml_hierarchy_scan"](spark, orders_of_one_file(spark, first, 500)).groupBy("reason").count().collect()
