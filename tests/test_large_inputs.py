@@ -6,7 +6,8 @@ from __spark_entry__ import queries
 from millrace.bindings import scans_and_sinks
 from millrace.bindings.inputs import raw_messages
 from millrace.bindings.scans_and_sinks import write_plans, write_raw_messages
-from millrace.session import scratch_path, spread
+from millrace.plans.project_plan import BATCH, plan_stage_to_integrated
+from millrace.session import scratch_path, settle, spread
 from millrace.sources.json_pages import json_items, split_items
 
 FOLDER = "/root/testdata/sf0.001"
@@ -69,6 +70,19 @@ def test_documents_are_compressed_in_files_of_bounded_size(spark, monkeypatch):
     assert sum(r["count"] for r in written) == 2000 and max(r["count"] for r in written) == 10
 
 
+def test_rows_of_documents_travel_without_the_batch(spark):
+    path = write_plans(spark, orders_of_one_file(spark, 1, 60))
+    staging = plan_stage_to_integrated(spark, path, batch=F.col("Name"), multi_line=False).staging
+    for name in ("task", "weekday", "exception_times"):
+        plan = staging[name]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        joins = [i for i, line in enumerate(plan) if "Join Inner" in line]
+        assert len(joins) == 1 and ":- Project" in plan[joins[0] + 1] and BATCH not in plan[joins[0] + 1]
+    keyed = {r["Unique_Key"]: r[BATCH] for r in staging["header"].collect()}
+    assert len(set(keyed.values())) == 48 and all(keyed[r["Ms_Project_Header_Id"]] == r[BATCH] for r in staging["weekday"].collect())
+    files = settle(spark.range(3), "packed", "zstd").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_large_order_numbers_keep_their_damage(spark):
     first = (1 << 24) + 5
     found = queries()["xml_hierarchy_scan"](spark, orders_of_one_file(spark, first, 500)).groupBy("reason").count().collect()
